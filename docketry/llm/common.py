@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once in a Python worker; one longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SHINGLE = 5
 
 
@@ -85,7 +85,7 @@ def _powers(n: int):
 class Words:
     """Words of a chunk of texts: hash, first and last byte, and where each text's words begin."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, space: np.ndarray = _SPACE):
         texts = texts.cast(pa.large_string()) if not pa.types.is_large_string(texts.type) else texts
         if texts.null_count:
             texts = texts.fill_null("")
@@ -99,7 +99,7 @@ class Words:
             self.hash, self.start, self.end = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
             self.first = np.zeros(n + 1, np.int64)
             return
-        solid = ~_SPACE[b]
+        solid = ~space[b]
         before = np.empty_like(solid)
         before[0] = False
         before[1:] = solid[:-1]

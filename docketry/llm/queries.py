@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from . import jaccard_join
+from . import decontaminate, embedding_dedup, jaccard_join, mixing, pii, substring_dedup, token_counts, toxicity, url_filter
 
 
 def queries():
     return {
         "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_embedding_near_dedup": embedding_dedup.op3_embedding_near_dedup,
+        "op4_pii": pii.op4_pii,
+        "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
+        "op6_token_counts": token_counts.op6_token_counts,
+        "op7_url_filter": url_filter.op7_url_filter,
+        "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+        "op10_mixing": mixing.op10_mixing,
     }
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op5_benchmark_decontamination": decontaminate.ORACLE_SQL,
+        "op7_url_filter": url_filter.ORACLE_SQL,
+        "op10_mixing": mixing.ORACLE_SQL,
+    }
