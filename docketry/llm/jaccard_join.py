@@ -8,7 +8,7 @@ every window. Pivots are therefore chosen where distances are below 1:
    y. Of the lower half of x's shingles by hash, at least an eighth plus of |x| must
    then occur in the lower half of another document's. Documents that fail this are
    alone. Hashes travel packed (8 bytes each) to hash-range buckets and are sorted there.
-2. *Pivots and regions.* Among the others, each shingle of the lower quarter elects the
+2. *Pivots and regions.* Among the others, each shingle of the lower half elects the
    smallest member as pivot; the region of a pivot holds all documents that share a
    shingle with it there: its Voronoi cell and every document near the border, which is
    so replicated into the regions of all pivots it overlaps. By the prefix bound, two
@@ -29,14 +29,14 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, chunks, components, cut, signed, table, text_bytes
 
 #: Link when 4 * |x & y| >= 3 * |x | y|: fixed by the contract (100 * i >= 75 * u).
 #: Texts packed together, at most 65,535 rows so that a row number fits 16 bits.
-PACK_BYTES, PACK_ROWS = 16 << 20, 60_000
+PACK_BYTES, PACK_ROWS = 12 << 20, 60_000
 #: In a pack, a shingle of so many documents sends two of them on and counts the rest at once.
 HOT_IN_PACK = 32
 #: Text behind one bucket of packed hashes.
@@ -153,7 +153,7 @@ def sized(docs: DataFrame) -> DataFrame:
 def _sets(batches):
     for part in chunks(batches):
         sets = list(Words(part.column(1)).shingle_sets())
-        low = [s[: len(s) // 4 + 1] for s in sets]
+        low = [s[: len(s) // 2 + 1] for s in sets]
         arrays = [part.column(0), pa.array([len(s) for s in sets], pa.int64())]
         for x in (low, sets):
             off = np.concatenate([[0], np.cumsum([len(s) for s in x])]).astype(np.int32)
@@ -237,9 +237,14 @@ def links(sets: DataFrame) -> DataFrame:
     """(a, b): links between the sets of (id, n, low, set), enough to connect all that linked pairs connect."""
     low = sets.select("id", F.explode("low").alias("h"))
     pivot = low.groupBy("h").agg(F.min("id").alias("region"), F.max("id").alias("top")).where("region < top").drop("top")
-    member = cut(low.join(pivot, "h").select("region", "id").distinct().join(sets.select("id", "n"), "id"), "regions")
-    size = member.groupBy("region").agg(F.sum("n").alias("weight"))
-    size = cut(size.select("region", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int").alias("blocks"), "weight"), "sizes")
+    member = low.join(pivot, "h").groupBy("region", "id").agg(F.count("*").alias("shared")).join(sets.select("id", "n"), "id")
+    # Linked documents share at least 3/16 of either's shingles here. What each drops of its
+    # smallest regions is less than half of that, so a region is left where they meet.
+    upto = F.sum("shared").over(Window.partitionBy("id").orderBy("shared", "region"))
+    member = member.withColumn("upto", upto).where(2 * F.col("upto") >= F.ceil(0.1875 * F.col("n") + 0.5)).select("region", "id", "n")
+    member = cut(member, "regions")
+    size = member.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
+    size = cut(size.where("members > 1").select("region", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int").alias("blocks"), "weight"), "sizes")
     total = size.where("blocks = 1").agg(F.sum("weight").alias("w")).first()["w"] or 0
     tasks = max(12, -(-total // BLOCK_SHINGLES))
     data = sets.select("id", "set")
