@@ -27,10 +27,11 @@ def topic_of(text: F.Column) -> F.Column:
     return out
 
 
-def weighed(docs: DataFrame) -> DataFrame:
+def weighed(docs: DataFrame, *more) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens): words of the whole text; null marks count as ''."""
     return docs.where("doc_id is not null").select(
-        "doc_id", *[F.coalesce(F.col(m), F.lit("")).alias(m) for m in MARGINALS[:2]], topic_of(F.coalesce("text", F.lit(""))).alias("topic"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^ \t\n\r]+")).cast("long").alias("n_tokens")
+        "doc_id", *[F.coalesce(F.col(m), F.lit("")).alias(m) for m in MARGINALS[:2]], topic_of(F.coalesce("text", F.lit(""))).alias("topic"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^ \t\n\r]+")).cast("long").alias("n_tokens"),
+        *more,
     )
 
 
@@ -59,6 +60,15 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
     return frame.withColumn("x", F.col("x") / F.sum("x").over(every) * F.sum("tokens").over(every))
 
 
+def _rated(rows: DataFrame, targets, share: float) -> DataFrame:
+    cells = rows.groupBy(*MARGINALS).agg(F.sum("n_tokens").alias("tokens"))
+    fitted = rake(cut(cells, "cells"), targets)
+    rate = F.coalesce(F.least(F.lit(1.0), F.lit(share) * F.col("x") / F.nullif(F.col("tokens"), F.lit(0))), F.lit(0.0))
+    draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
+    out = rows.join(fitted.select(*MARGINALS, rate.alias("exact")), list(MARGINALS))
+    return out.withColumn("sampled", draw < F.col("exact")).withColumn("rate", F.round("exact", 6)).drop("exact")
+
+
 def mixture(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
     """One row per row of docs (doc_id, text, lang, source): n_tokens, rate, sampled and the marks.
 
@@ -66,13 +76,13 @@ def mixture(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
     have no tokens to weigh: a cell of only such texts has the rate 0. Rows without a doc_id
     are left out; rows with the same doc_id are drawn alike. An empty table gives no rows.
     """
-    rows = weighed(docs)
-    cells = rows.groupBy(*MARGINALS).agg(F.sum("n_tokens").alias("tokens"))
-    fitted = rake(cut(cells, "cells"), targets)
-    rate = F.coalesce(F.least(F.lit(1.0), F.lit(share) * F.col("x") / F.nullif(F.col("tokens"), F.lit(0))), F.lit(0.0))
-    draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
-    out = rows.join(fitted.select(*MARGINALS, rate.alias("rate")), list(MARGINALS))
-    return out.select("doc_id", *MARGINALS, "n_tokens", F.round("rate", 6).alias("rate"), (draw < F.col("rate")).alias("sampled"))
+    return _rated(weighed(docs), targets, share).select("doc_id", *MARGINALS, "n_tokens", "rate", "sampled")
+
+
+def sampled_documents(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
+    """The drawn rows of docs, with the columns of docs."""
+    whole = F.struct(*docs.columns)
+    return _rated(weighed(docs, whole.alias("whole")), targets, share).where("sampled").select("whole.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

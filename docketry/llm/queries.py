@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embedding_dedup, jaccard_join, mixing, pii, substring_dedup, token_counts, toxicity, url_filter
+from . import decontaminate, embedding_dedup, jaccard_join, mixing, pii, substring_dedup, token_codec, token_counts, toxicity, url_filter
 
 
 def queries():
@@ -14,6 +14,7 @@ def queries():
         "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
         "op6_token_counts": token_counts.op6_token_counts,
         "op7_url_filter": url_filter.op7_url_filter,
+        "op8_token_ids": token_codec.op8_token_ids,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
     }

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Words, chunks, mix, table
 
@@ -84,17 +85,17 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> lis
     return [(r["at"], r["w"]) for r in rows.repartition(1).mapInArrow(_learn, "at long, w double").collect()]
 
 
-def _scorer(weights):
+def _scorer(weights, name):
     def score(batches):
         at, w = weights.value
         full = np.zeros(FEATURES)
         full[at] = w
         for part in chunks(batches):
-            own, i = features(part.column(1))
+            own, i = features(part.column(part.schema.get_field_index("text")))
             use = full[i] != 0
             pair = np.unique(own[use] * FEATURES + i[use])
             total = full[BIAS] + np.bincount(pair // FEATURES, full[pair % FEATURES], part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], [*part.schema.names, name])
 
     return score
 
@@ -103,6 +104,17 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", max_train: int = MAX_TRAIN) -> DataFrame:
+    """docs (doc_id, text, any others) with a column `name`, the score of each whole text."""
+    rows = docs.where("doc_id is not null")
+    learnt = train(rows, labels.select("doc_id", "toxic").where(~held_out()), max_train)
+    at = np.array([a for a, _ in learnt] or [BIAS], np.int64)
+    w = np.array([x for _, x in learnt] or [np.log(0.25 / 0.75)])
+    shared = docs.sparkSession.sparkContext.broadcast((at, w))
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.DoubleType())])
+    return rows.mapInArrow(_scorer(shared, name), schema)
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, held_out, score, predicted.
 
@@ -112,12 +124,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     predicted 0. Null, empty and wordless texts have the score of the intercept alone.
     Rows without a doc_id are left out. Other columns are not read.
     """
-    rows = docs.select("doc_id", "text").where("doc_id is not null")
-    learnt = train(rows, labels.select("doc_id", "toxic").where(~held_out()), max_train)
-    at = np.array([a for a, _ in learnt] or [BIAS], np.int64)
-    w = np.array([x for _, x in learnt] or [np.log(0.25 / 0.75)])
-    shared = docs.sparkSession.sparkContext.broadcast((at, w))
-    scored = rows.mapInArrow(_scorer(shared), "doc_id long, score double")
+    scored = with_score(docs.select("doc_id", "text"), labels, max_train=max_train)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
