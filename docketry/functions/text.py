@@ -14,6 +14,11 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once, also where use needs it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def squash(c) -> Column:
     """Lower case, letters and digits only."""
     return F.regexp_replace(F.lower(col(c)), "[^a-z0-9]", "")
@@ -82,14 +87,20 @@ def unseen_figures(claimed, source, least: int = 4, most: int = 12, strict: bool
 
     strict compares with whole figures of the source instead of its joined digits.
     """
-    blob, known = digits(source), F.transform(figures(source), lambda f: digits(f))
+    seen = transform_digits(figures(source)) if strict else digits(source)
+
+    def unseen(seen):
+        def bad(f):
+            d = digits(f)
+            return F.length(d).between(least, most) & ~(F.array_contains(seen, d) if strict else F.contains(seen, d))
+
+        return F.slice(F.filter(figures(claimed), bad), 1, 6)
+
+    return let(seen, unseen)
 
-    def bad(f):
-        d = digits(f)
-        seen = F.array_contains(known, d) if strict else F.contains(blob, d)
-        return F.length(d).between(least, most) & ~seen
 
-    return F.slice(F.filter(figures(claimed), bad), 1, 6)
+def transform_digits(c) -> Column:
+    return F.transform(c, lambda f: digits(f))
 
 
 def words(c) -> Column:
@@ -98,15 +109,17 @@ def words(c) -> Column:
 
 def shingles(c, n: int = V.GROUND_WORDS) -> Column:
     """Distinct runs of n words, each as one string; none below n words."""
-    w = words(c)
-    starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " ")))
+
+    def runs(w):
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " ")))
+
+    return let(words(c), runs)
 
 
 def overlap(a, b, n: int = V.GROUND_WORDS) -> Column:
     """Share of a's word runs that b has; 1 if a has none."""
-    sa, sb = shingles(a, n), shingles(b, n)
-    return F.when(F.size(sa) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(sa, sb)) / F.size(sa))
+    return let(shingles(a, n), lambda sa: F.when(F.size(sa) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(sa, shingles(b, n))) / F.size(sa)))
 
 
 def safe(c) -> Column:
@@ -125,12 +138,17 @@ def row_height(cells, widths=(95, 85, 80)) -> Column:
 def render_table(t) -> Column:
     """A struct (title, headers, rows) as padded text with a rule under the headers."""
     t = col(t)
-    rows = F.concat(F.array(t["headers"]), t["rows"])
-    width = F.transform(t["headers"], lambda h, i: F.array_max(F.transform(rows, lambda r: F.length(F.coalesce(F.get(r, i), F.lit(""))))))
-    text = F.transform(rows, lambda r: F.regexp_replace(F.array_join(F.transform(r, lambda c, i: F.rpad(c, F.get(width, i), " ")), "  "), r"(?U)\s+$", ""))
-    rule = F.array_join(F.transform(width, lambda w: F.repeat(F.lit("-"), w)), "  ")
-    head = F.when(F.coalesce(t["title"], F.lit("")) != "", F.array(t["title"])).otherwise(F.array().cast("array<string>"))
-    return F.array_join(F.concat(head, F.slice(text, 1, 1), F.array(rule), F.slice(text, 2, F.greatest(F.size(text) - 1, F.lit(1)))), "\n")
+
+    def lay(rows):
+        def widths(width):
+            text = F.transform(rows, lambda r: F.regexp_replace(F.array_join(F.transform(r, lambda c, i: F.rpad(c, F.get(width, i), " ")), "  "), r"(?U)\s+$", ""))
+            rule = F.array_join(F.transform(width, lambda w: F.repeat(F.lit("-"), w)), "  ")
+            head = F.when(F.coalesce(t["title"], F.lit("")) != "", F.array(t["title"])).otherwise(F.array().cast("array<string>"))
+            return let(text, lambda x: F.array_join(F.concat(head, F.slice(x, 1, 1), F.array(rule), F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(1)))), "\n"))
+
+        return let(F.transform(t["headers"], lambda h, i: F.array_max(F.transform(rows, lambda r: F.length(F.coalesce(F.get(r, i), F.lit("")))))), widths)
+
+    return let(F.concat(F.array(t["headers"]), t["rows"]), lay)
 
 
 def numbered(c, start=1) -> Column:

@@ -26,15 +26,16 @@ def damaged(c) -> Column:
 
 def reconstructible(figure: Column, source: Column) -> Column:
     """Whether a figure's digits stand in the source together, or as two parts that begin or end a run of digits there."""
-    d, blob = X.digits(figure), X.digits(source)
     runs = F.regexp_extract_all(source, F.lit(r"\d+"), F.lit(0))
 
-    def at_edge(part):
-        return F.exists(runs, lambda r: r.startswith(part) | r.endswith(part))
+    def split(d, runs):
+        def at_edge(part):
+            return F.exists(runs, lambda r: r.startswith(part) | r.endswith(part))
 
-    cuts = F.when(F.length(d) >= 3, F.sequence(F.lit(2), F.length(d) - 1)).otherwise(F.array().cast("array<int>"))
-    split = F.exists(cuts, lambda i: at_edge(F.substring(d, F.lit(1), i)) & at_edge(F.substring(d, i + 1, F.length(d))))
-    return (d == "") | F.contains(blob, d) | split
+        cuts = F.when(F.length(d) >= 3, F.sequence(F.lit(2), F.length(d) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.exists(cuts, lambda i: at_edge(F.substring(d, F.lit(1), i)) & at_edge(F.substring(d, i + 1, F.length(d))))
+
+    return X.let(X.digits(figure), lambda d: (d == "") | F.contains(X.digits(source), d) | X.let(runs, lambda r: split(d, r)))
 
 
 def bad_repairs(payload, source) -> Column:
@@ -77,18 +78,20 @@ def judge_page(model, witness) -> Column:
     model, witness = X.col(model), X.col(witness)
     m = F.when(m == V.BLANK, F.lit("")).otherwise(m)
     seen = F.length(w) >= V.MIN_WITNESS
-    ov = X.overlap(model, witness, 3)
-    mark = F.format_string("%.2f", ov)
 
     def out(text, verdict):
         return F.struct(text.alias("text"), verdict.alias("verdict"))
 
+    def compared(ov):
+        mark = F.format_string("%.2f", ov)
+        drift = (ov < V.MIN_OVERLAP) & (F.length(model) > V.LONGER * F.length(witness))
+        return F.when(drift, out(witness, F.concat(F.lit("drift-"), mark))).otherwise(out(model, F.concat(F.lit("ok-"), mark)))
+
     return (
         F.when(m == "", out(F.when(seen, witness).otherwise(F.lit("")), F.lit("blank")))
         .when(~seen & (F.length(m) > V.SPARSE), out(F.lit(""), F.lit("invented-on-blank-page")))
         .when(~seen, out(model, F.lit("ok-sparse")))
-        .when((ov < V.MIN_OVERLAP) & (F.length(model) > V.LONGER * F.length(witness)), out(witness, F.concat(F.lit("drift-"), mark)))
-        .otherwise(out(model, F.concat(F.lit("ok-"), mark)))
+        .otherwise(X.let(X.overlap(model, witness, 3), compared))
     )
 
 

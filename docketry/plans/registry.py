@@ -218,9 +218,9 @@ def damaged_tables(spark, d):
     return _figures(spark, d).select("o_orderkey", evidence.damaged("text").alias("damaged"))
 
 
-@query("select o_orderkey, array_to_string(list_distinct([(o_orderkey * 1000)::varchar, (o_custkey + 100)::varchar]).list_sort(), ',') as figures from orders")
+@query("select o_orderkey, array_to_string(list_distinct([((o_orderkey + 1) * 1000)::varchar, (o_custkey + 100)::varchar]).list_sort(), ',') as figures from orders")
 def figure_extract(spark, d):
-    key = F.col("o_orderkey") * 1000
+    key = (F.col("o_orderkey") + 1) * 1000
     grouped = F.concat((key / 1000).cast("long").cast("string"), F.lit(",000"))
     t = F.concat(F.lit("Pay "), grouped, F.lit(" and "), (F.col("o_custkey") + 100).cast("string"), F.lit(" not v"), key.cast("string"), F.lit("x or 12"))
     return _t(spark, d, "orders").select("o_orderkey", F.array_join(F.array_sort(X.figures(t)), ",").alias("figures"))
