@@ -19,7 +19,7 @@ WINDOW, COVER, CONSISTENT = 5, 0.75, 0.75
 BROADCAST_WINDOWS = 500_000
 # The units that become a placeholder.
 UNITS = "km|cm|mm|kg|mg|ml|kb|mb|gb|tb|km/h|mph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|liters?|litres?|percent|dollars?|euros?|usd|eur|%|€|\\$"
-_NAME, _NUMBER, _UNIT = "([\\p{Ll}0-9,;] )\\p{Lu}[\\p{L}'-]*", "[0-9]+([.,:/][0-9]+)*", f"(§num ?)({UNITS})([^\\p{{L}}]|$)"
+_NAME, _NUMBER, _UNIT = "([\\p{Ll}0-9,;] )\\p{Lu}[\\p{L}'-]*", "(^|[^\\p{L}0-9§])[0-9]+([.,:/][0-9]+)*", f"(§num ?)({UNITS})([^\\p{{L}}]|$)"
 _TAIL, _HEAD = '[.,;:!?()"\\[\\]]+(\\s|$)', '(^|\\s)[("\\[]+'
 
 
@@ -31,7 +31,7 @@ def templates(text: F.Column) -> tuple[F.Column, F.Column]:
         t = F.regexp_replace(F.regexp_replace(t, _TAIL, "$1"), _HEAD, "$1")
         return F.filter(F.split(F.lower(t), r"\s+"), lambda w: w != "")
 
-    marked = F.regexp_replace(F.regexp_replace(text, _NAME, "$1§name"), _NUMBER, "§num")
+    marked = F.regexp_replace(F.regexp_replace(text, _NAME, "$1§name"), _NUMBER, "$1§num")
     return words(F.regexp_replace(marked, _UNIT, "$1§unit$3")), words(text)
 
 
@@ -51,6 +51,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, c
     windows. Items without a placeholder are consistent. Rows without an id are left out.
     """
     item = windows(benchmark.select("item_id", "text").where("item_id is not null"), "item_id")
+    item = item.where(F.exists("marks", lambda w: ~w.startswith("§")))  # placeholders alone say nothing
     item = item.groupBy("item_id", "h").agg(F.min_by(F.struct(F.col("pos").alias("pos"), "plain", "marks"), "pos").alias("i"))
     item = cut(item.select("item_id", "h", F.col("i.pos").alias("item_pos"), F.col("i.plain").alias("item_plain"), "i.marks"), "items")
     total = item.groupBy("item_id").agg(F.count("*").alias("total"))
@@ -82,14 +83,14 @@ def _sql() -> str:
     def words(t):
         return f"list_filter(string_split_regex(lower(regexp_replace(regexp_replace({t}, '{_TAIL}', '\\1', 'g'), '{_HEAD}', '\\1', 'g')), '\\s+'), lambda w: w <> '')"
 
-    marked = f"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{_NAME.replace(chr(39), chr(39) * 2)}', '\\1§name', 'g'), '{_NUMBER}', '§num', 'g'), '{_UNIT}', '\\1§unit\\3', 'g')"
+    marked = f"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{_NAME.replace(chr(39), chr(39) * 2)}', '\\1§name', 'g'), '{_NUMBER}', '\\1§num', 'g'), '{_UNIT}', '\\1§unit\\3', 'g')"
 
     def wins(key, frame):
         return f"""select {key}, pos, array_to_string(t[pos + 1 : pos + {WINDOW}], ' ') as h, w[pos + 1 : pos + {WINDOW}] as plain, t[pos + 1 : pos + {WINDOW}] as marks
   from (select {key}, t, w, unnest(range(0, greatest(len(t) - {WINDOW}, 0) + 1)) as pos from (select {key}, {words(marked)} as t, {words("coalesce(text, '')")} as w from {frame}) where len(t) > 0)"""
 
     return f"""
-with iw as ({wins("item_id", "benchmark")}),
+with iw as (select * from ({wins("item_id", "benchmark")}) where len(list_filter(marks, lambda w: not starts_with(w, '§'))) > 0),
 item as (select item_id, h, min(pos) as item_pos, arg_min(plain, pos) as item_plain, arg_min(marks, pos) as marks from iw group by 1, 2),
 total as (select item_id, count(*) as total from item group by 1),
 doc as ({wins("doc_id", "documents")}),

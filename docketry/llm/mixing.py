@@ -49,7 +49,7 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
         else:
             want = F.pow(F.sum("tokens").over(Window.partitionBy(m)).cast("double"), F.lit(TEMPER))
         frame = frame.withColumn(f"t_{m}", want).withColumn("n", F.count("*").over(Window.partitionBy(m)))
-        frame = frame.withColumn(f"t_{m}", F.col(f"t_{m}") / F.sum(F.col(f"t_{m}") / F.col("n")).over(every)).drop("n")
+        frame = frame.withColumn(f"t_{m}", F.coalesce(F.col(f"t_{m}") / F.nullif(F.sum(F.col(f"t_{m}") / F.col("n")).over(every), F.lit(0.0)), F.lit(0.0))).drop("n")
     frame = cut(frame, "cells")
     for turn in range(turns):
         for m in MARGINALS:
@@ -57,7 +57,7 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
             frame = frame.withColumn("x", F.when(now > 0, F.col("x") * F.col(f"t_{m}") / now).otherwise(F.lit(0.0)))
         if turn % 3 == 2:
             frame = cut(frame, "cells")
-    return frame.withColumn("x", F.col("x") / F.sum("x").over(every) * F.sum("tokens").over(every))
+    return frame.withColumn("x", F.coalesce(F.col("x") / F.nullif(F.sum("x").over(every), F.lit(0.0)) * F.sum("tokens").over(every), F.lit(0.0)))
 
 
 def _rated(rows: DataFrame, targets, share: float) -> DataFrame:

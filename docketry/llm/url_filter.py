@@ -18,6 +18,8 @@ from .common import table
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: The bad rate beyond which a host is blocked, the width of the bound in standard deviations, and the bounds of the prior's strength.
 LIMIT, WIDTH, LEAST, MOST = 0.3, 1.645, 2.0, 500.0
+#: The bad rate believed before any outcome, worth one page.
+PRIOR = 0.1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,9 +48,9 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     count = [F.count("*").alias("n"), F.sum("bad").alias("k")]
     host = known.groupBy("host", "domain", "suffix").agg(*count)
     total = host.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n0"), F.coalesce(F.sum("k"), F.lit(0)).alias("k0"), F.count("*").alias("hosts"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.sum(F.col("k") * F.col("k") / F.col("n")).alias("kk"))
-    m0 = (F.col("k0") + 0.5) / (F.col("n0") + 1)
+    m0 = (F.col("k0") + PRIOR) / (F.col("n0") + 1)
     between = F.col("kk") - F.col("n0") * m0 * m0  # weighted squares of host rates around the mean
-    spread = (between - (F.col("hosts") - 1) * m0 * (1 - m0)) / F.nullif(F.col("n0") - F.col("nn") / F.col("n0"), F.lit(0.0))
+    spread = (between - (F.col("hosts") - 1) * m0 * (1 - m0)) / F.nullif(F.col("n0") - F.col("nn") / F.nullif(F.col("n0"), F.lit(0)), F.lit(0.0))
     strength = F.when(spread > 0, F.least(F.greatest(m0 * (1 - m0) / spread - 1, F.lit(LEAST)), F.lit(MOST))).otherwise(F.lit(MOST))
     total = total.select(m0.alias("m0"), F.coalesce(strength, F.lit(MOST)).alias("s")).first()  # two numbers
     top, s = F.lit(total["m0"]), F.lit(total["s"])
@@ -104,7 +106,7 @@ q as (select *, string_split(host, '.')[-1] as suffix, case when contains(host,
 o as (select doc_id as page_id, max(1 - quality) as bad from labels where quality in (0, 1) group by 1),
 h as (select host, domain, suffix, count(*) as n, sum(bad) as k from q join o using (page_id) group by 1, 2, 3),
 t0 as (select coalesce(sum(n), 0) as n0, coalesce(sum(k), 0) as k0, count(*) as hosts, sum(n * n)::double as nn, sum(k * k::double / n) as kk from h),
-t1 as (select *, (k0 + 0.5::double) / (n0 + 1) as m0 from t0),
+t1 as (select *, (k0 + {PRIOR}::double) / (n0 + 1) as m0 from t0),
 t2 as (select m0, (kk - n0 * m0 * m0 - (hosts - 1) * m0 * (1 - m0)) / nullif(n0 - nn / nullif(n0, 0), 0) as spread from t1),
 t as (select m0, coalesce(case when spread > 0 then least(greatest(m0 * (1 - m0) / spread - 1, {LEAST}::double), {MOST}::double) else {MOST}::double end, {MOST}::double) as s from t2),
 sx as (select suffix, sum(n) as n, sum(k) as k from h group by 1),
