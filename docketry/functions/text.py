@@ -129,9 +129,11 @@ def safe(c) -> Column:
 
 def row_height(cells, widths=(95, 85, 80)) -> Column:
     """Estimated height of a sheet row: 11.5 for each wrapped line, from 30 to 409."""
-    total = F.lit(0)
-    for c, w in zip(cells, widths, strict=False):
-        total = total + F.aggregate(F.transform(lines(c), lambda x, w=w: F.greatest(F.lit(1), F.ceil(F.length(x) / w)).cast("int")), F.lit(0), lambda a, b: a + b) + F.when(F.size(lines(c)) == 0, 1).otherwise(0)
+    def wrapped(c, width):
+        per_line = F.transform(lines(c), lambda x: F.greatest(F.lit(1), F.ceil(F.length(x) / F.lit(width)).cast("int")))
+        return F.greatest(F.lit(1), F.aggregate(per_line, F.lit(0), lambda a, b: a + b))
+
+    total = sum((wrapped(c, w) for c, w in zip(cells, widths, strict=False)), F.lit(0))
     return F.least(F.lit(409.0), F.greatest(F.lit(30.0), total * F.lit(11.5)))
 
 
