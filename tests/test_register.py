@@ -210,10 +210,11 @@ def test_whole_register(spark, notice, tmp_path):
     ra = '{"items": [{"id": "A1", "lines": [1, 1], "text": "turnover 12,34,567 was paid in April as the books show clearly"}, {"id": "B6", "lines": [2, 2], "text": "We paid 77777 of it, which nobody ever wrote in this letter"}, {"id": "Z1", "text": "x"}]}'
     oa = '{"items": [{"id": "B6", "lines": [2, 2], "text": "the demand of 98765 rupees is hereby confirmed by me", "verdict": "confirmed"}, {"id": "A1", "lines": [1, 1], "text": "It is proposed to be taxed at 18 percent"}]}'
     out = stages.full_register(notice, rt, ot, replayed(spark, [("1| We submit", ra)]), replayed(spark, [("1| It is proposed", oa)]))
+    out = {k: v.cache() if v is not None else v for k, v in out.items()}
     rows = {r["param_id"]: r for r in out["register"].collect()}
     assert rows["A1"]["reply"].startswith("turnover") and rows["B6"]["reply"] == "Kindly drop." and rows["C1"]["reply"] == V.NO_REPLY
     assert rows["B6"]["finding"].startswith("the demand") and rows["A1"]["finding"] == V.NO_FINDING and rows["C1"]["finding_status"] == "silent"
-    silent = stages.replies(rt, out["sections"], replayed(spark, []))
+    silent = stages.replies(rt, out["sections"], replayed(spark, [])).cache()
     assert {r["status"] for r in silent.collect()} == {"failed"}
     spine = out["sections"].select("case_id", "param_id")
     assert checks.notice_checks(out["sections"], notice, out["notices"]).count() == 0 and checks.answer_checks(out["replies"], spine, "reply").count() == 0
