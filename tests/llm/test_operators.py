@@ -343,6 +343,20 @@ def test_passages_are_found_whole_and_fuzzy(spark):
     assert substring_dedup.duplicated(d.where("false")).count() == 0
 
 
+def test_passages_whose_pieces_stood_elsewhere_are_found(spark):
+    rng = random.Random(21)
+    rows, want = [], set()
+    for k in range(40):
+        one, two = words(rng, 34, 10**6), words(rng, 34, 10**6)
+        fill = [words(rng, 60, 10**6) for _ in range(8)]
+        rows += [(4 * k + j, " ".join(fill[2 * j] + p + fill[2 * j + 1])) for j, p in enumerate((one, two, one + two, one + two))]
+        want.add(4 * k + 3)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in substring_dedup.duplicated(d).collect()}
+    assert all(got[i]["dup_words"] >= 62 and f":{i - 1}" in got[i]["spans"] for i in want)
+    assert not any(got[i]["n_passages"] for i in got if i not in want)
+
+
 def test_raking_meets_the_targets(spark):
     cells = spark.createDataFrame([(s, lang, t, 100 + 37 * k) for k, (s, lang, t) in enumerate((s, lang, t) for s in "abc" for lang in "xy" for t in "pq")], "source string, lang string, topic string, tokens long")
     want = {"source": {"a": 1.0, "b": 1.0, "c": 2.0}, "lang": {"x": 3.0, "y": 1.0}, "topic": {"p": 1.0, "q": 1.0}}
