@@ -357,6 +357,18 @@ def test_passages_whose_pieces_stood_elsewhere_are_found(spark):
     assert not any(got[i]["n_passages"] for i in got if i not in want)
 
 
+def test_evenly_edited_passages_are_found(spark):
+    rng = random.Random(22)
+    rows = []
+    for k in range(60):
+        p = words(rng, 60, 10**6)
+        q = [f"e{rng.randrange(10**9)}" if i % 8 == k % 8 else w for i, w in enumerate(p)]
+        rows += [(2 * k, " ".join(words(rng, 60, 10**6) + p + words(rng, 60, 10**6))), (2 * k + 1, " ".join(words(rng, 60, 10**6) + q + words(rng, 60, 10**6)))]
+    got = substring_dedup.duplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = [r for r in got if r["doc_id"] % 2 and r["dup_words"] >= 45]
+    assert len(found) >= 57 and sum(r["n_copied"] for r in got) == sum(r["n_passages"] for r in got)
+
+
 def test_raking_meets_the_targets(spark):
     cells = spark.createDataFrame([(s, lang, t, 100 + 37 * k) for k, (s, lang, t) in enumerate((s, lang, t) for s in "abc" for lang in "xy" for t in "pq")], "source string, lang string, topic string, tokens long")
     want = {"source": {"a": 1.0, "b": 1.0, "c": 2.0}, "lang": {"x": 3.0, "y": 1.0}, "topic": {"p": 1.0, "q": 1.0}}
