@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation (operator 5), DataFrame functions only.
 
-Numbers, names inside sentences and units become typed placeholders, so a question asked
-again with other figures has the same template. Template windows of five words are hashed
+Numbers, names (a run of capitalised words is one) and units become typed placeholders, so a
+question asked again with other figures or names has the same template. Template windows of five words are hashed
 and joined with those of the benchmark; a document covers an item when it holds at least
 three quarters of the item's windows. Aligned windows then show which value stands in the
 place of which: a true copy replaces each value of the item by one value throughout.
@@ -19,6 +19,8 @@ WINDOW, COVER, CONSISTENT = 5, 0.75, 0.75
 BROADCAST_WINDOWS = 500_000
 # The units that become a placeholder.
 UNITS = "km|cm|mm|kg|mg|ml|kb|mb|gb|tb|km/h|mph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|liters?|litres?|percent|dollars?|euros?|usd|eur|%|€|\\$"
+# _NAME is the SQL twin's pattern of single names; here a run of them is first tied into one word.
+_TIE, _TIED = "((?:^|[\\s(\"\\[])\\p{Lu}[\\p{L}'-]*|\\G\\p{Lu}[\\p{L}'-]*)\\s+(?=\\p{Lu})", "(^|[\\s(\"\\[])\\p{Lu}[\\p{L}'-]*(?:\\x1f\\p{Lu}[\\p{L}'-]*)*"
 _NAME, _NUMBER, _UNIT = "([\\p{Ll}0-9,;] )\\p{Lu}[\\p{L}'-]*", "(^|[^\\p{L}0-9§])[0-9]+([.,:/][0-9]+)*", f"(§num ?)({UNITS})([^\\p{{L}}]|$)"
 _TAIL, _HEAD = '[.,;:!?()"\\[\\]]+(\\s|$)', '(^|\\s)[("\\[]+'
 
@@ -31,7 +33,8 @@ def templates(text: F.Column) -> tuple[F.Column, F.Column]:
         t = F.regexp_replace(F.regexp_replace(t, _TAIL, "$1"), _HEAD, "$1")
         return F.filter(F.split(F.lower(t), r"\s+"), lambda w: w != "")
 
-    marked = F.regexp_replace(F.regexp_replace(text, _NAME, "$1§name"), _NUMBER, "$1§num")
+    text = F.regexp_replace(text, _TIE, "$1\x1f")
+    marked = F.regexp_replace(F.regexp_replace(text, _TIED, "$1§name"), _NUMBER, "$1§num")
     return words(F.regexp_replace(marked, _UNIT, "$1§unit$3")), words(text)
 
 

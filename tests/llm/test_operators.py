@@ -229,6 +229,16 @@ def test_decontamination_refuses_mixed_up_slots(spark):
     assert {r["doc_id"]: r["contaminated"] for r in decontaminate.flagged(d, bench).collect()} == {1: True, 2: False}
 
 
+def test_decontamination_catches_other_names(spark):
+    item = "In the morning John Smith and Dr. Lee sold eggs to the baker (Anna Maria Berg) before John Smith went back to the farm of Dr. Lee"
+    other = item.replace("John Smith", "Mary\n Jane Jones").replace("Lee", "Van Horn").replace("Anna Maria Berg", "Otto")
+    mixed = item.replace("John Smith", "Mary Jones", 1).replace("Lee", "Horn", 1)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item), (2, other), (3, "so it was. " + other + " and more"), (4, mixed), (5, "In the evening nothing was sold")]
+    got = {r["doc_id"]: r["contaminated"] for r in decontaminate.flagged(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False, 5: False}
+
+
 def naive_count(word, scores):
     best = [(0.0, 0)]
     for end in range(1, len(word) + 1):
