@@ -2,7 +2,8 @@
 
 Tokens are counted by cell of source, language and topic. Raking multiplies the cells in
 turn so that each marginal meets its target; the fitted share of a cell over its tokens is
-the probability with which its documents are kept. A document's draw is a hash of its id,
+the probability with which its documents are kept. Where that is above 1 the cell is drawn
+whole and the others make up for it. A document's draw is a hash of its id,
 so a run can be repeated and no state is held.
 """
 
@@ -16,6 +17,8 @@ from .common import cut, table
 MARGINALS = ("source", "lang", "topic")
 #: Share of all tokens to draw, power by which default targets flatten the present shares, and turns of raking.
 SHARE, TEMPER, TURNS = 0.5, 0.7, 6
+#: Rounds of three turns for cells that are drawn whole, and the share of all tokens by which a marginal may then be off.
+MOST, CLOSE = 20, 1e-5
 # The marks by which a text has its topic, first match wins.
 TOPICS = (("table", " | "), ("secret", 'token = "'), ("license", "icens"))
 
@@ -60,10 +63,65 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
     return frame.withColumn("x", F.coalesce(F.col("x") / F.nullif(F.sum("x").over(every), F.lit(0.0)) * F.sum("tokens").over(every), F.lit(0.0)))
 
 
+def drawn(cells: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
+    """cells (source, lang, topic, tokens) with y, the tokens to draw of each, at most those it has.
+
+    Raked cells that ask for more than they have are drawn whole, and what they lack goes
+    to the others of their marginals, until the marginals of y meet share times the
+    targets. A value that asks for more than all its cells have is drawn whole and the
+    rest of its target goes to the other values of the marginal.
+    """
+    every = Window.partitionBy()
+    frame = rake(cells, targets).withColumn("x", F.lit(share) * F.col("x"))
+    frame = cut(frame.withColumn("y", F.least("x", "tokens")), "cells")
+    if frame.where("x > tokens").isEmpty():
+        return frame.select(*MARGINALS, "tokens", "y")
+    for m in MARGINALS:
+        frame = _feasible(frame, m, share)
+    for _ in range(MOST):  # x is the product of all factors, y what of it can be drawn
+        for _ in range(3):
+            for m in MARGINALS:
+                now = F.sum("y").over(Window.partitionBy(m))
+                frame = frame.withColumn("x", F.when(now > 0, F.least(F.col("x") * F.col(f"w_{m}") / now, F.lit(1e200))).otherwise(F.lit(0.0))).withColumn("y", F.least("x", "tokens"))
+        frame = cut(frame, "cells")
+        off = [F.max(F.abs(F.col(f"s_{m}") - F.col(f"w_{m}"))) for m in MARGINALS]
+        sums = frame.select("tokens", *[f"w_{m}" for m in MARGINALS], *[F.sum("y").over(Window.partitionBy(m)).alias(f"s_{m}") for m in MARGINALS])
+        if sums.agg((F.greatest(*off) <= CLOSE * F.sum("tokens")).alias("ok")).first()["ok"]:
+            break
+    return frame.select(*MARGINALS, "tokens", "y")
+
+
+def _feasible(frame: DataFrame, m: str, share: float) -> DataFrame:
+    """frame with w_m, the tokens wanted of a value of m: share of all by t_m, but none has more than there are."""
+    value = Window.orderBy(F.col("has") / F.col("t"), m)
+    per = frame.groupBy(m).agg(F.sum("tokens").cast("double").alias("has"), F.first(f"t_{m}").alias("t"))
+    per = per.withColumn("total", F.lit(share) * F.sum("has").over(Window.partitionBy())).where("has > 0 and t > 0")
+    # By tokens per wanted weight, a value is drawn whole while the level that the rest would have is above its own.
+    before = F.coalesce(F.sum("has").over(value.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rest = F.sum("t").over(value.rowsBetween(0, Window.unboundedFollowing))
+    per = per.withColumn("level", (F.col("total") - before) / rest).withColumn("full", F.col("level") * F.col("t") >= F.col("has"))
+    level = F.max(F.when(~F.col("full"), F.col("level"))).over(Window.partitionBy())
+    per = per.select(m, F.when(F.col("full"), F.col("has")).otherwise(level * F.col("t")).alias(f"w_{m}"))
+    return frame.join(F.broadcast(per), m, "left").fillna(0.0, [f"w_{m}"])
+
+
+def report(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
+    """(marginal, value, tokens, target, achieved): wanted and expected share of the drawn tokens of each value."""
+    cells = cut(weighed(docs).groupBy(*MARGINALS).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    got = cut(drawn(cells, targets, share).join(rake(cells, targets).select(*MARGINALS, *[f"t_{m}" for m in MARGINALS]), list(MARGINALS)), "cells")
+    out = None
+    for m in MARGINALS:
+        total = Window.partitionBy()
+        one = got.groupBy(F.lit(m).alias("marginal"), F.col(m).alias("value")).agg(F.sum("tokens").alias("tokens"), F.first(f"t_{m}").alias("target"), F.sum("y").alias("y"))
+        one = one.select("marginal", "value", "tokens", (F.col("target") / F.sum("target").over(total)).alias("target"), (F.col("y") / F.sum("y").over(total)).alias("achieved"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 def _rated(rows: DataFrame, targets, share: float) -> DataFrame:
     cells = rows.groupBy(*MARGINALS).agg(F.sum("n_tokens").alias("tokens"))
-    fitted = rake(cut(cells, "cells"), targets)
-    rate = F.coalesce(F.least(F.lit(1.0), F.lit(share) * F.col("x") / F.nullif(F.col("tokens"), F.lit(0))), F.lit(0.0))
+    fitted = drawn(cut(cells, "cells"), targets, share)
+    rate = F.coalesce(F.least(F.lit(1.0), F.col("y") / F.nullif(F.col("tokens"), F.lit(0))), F.lit(0.0))
     draw = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
     out = rows.join(fitted.select(*MARGINALS, rate.alias("exact")), list(MARGINALS))
     return out.withColumn("sampled", draw < F.col("exact")).withColumn("rate", F.round("exact", 6)).drop("exact")
@@ -72,7 +130,7 @@ def _rated(rows: DataFrame, targets, share: float) -> DataFrame:
 def mixture(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
     """One row per row of docs (doc_id, text, lang, source): n_tokens, rate, sampled and the marks.
 
-    The rate is share * fitted / present tokens of the cell, at most 1. Texts without words
+    The rate is drawn / present tokens of the cell (see drawn). Texts without words
     have no tokens to weigh: a cell of only such texts has the rate 0. Rows without a doc_id
     are left out; rows with the same doc_id are drawn alike. An empty table gives no rows.
     """

@@ -402,6 +402,19 @@ def test_mixture_draws_by_rate(spark, docs):
     assert mixing.mixture(docs.where("false")).count() == 0
 
 
+def test_draw_meets_the_targets_where_cells_are_too_small(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 10_000), ("a", "y", "p", 4000), ("b", "x", "p", 3000), ("b", "y", "p", 300), ("b", "y", "q", 500)], "source string, lang string, topic string, tokens long")
+    want = {"source": {"a": 1.0, "b": 1.0}, "lang": {"x": 3.0, "y": 1.0}, "topic": {"p": 8.0, "q": 2.0}}
+    rows = mixing.drawn(cells, want, 0.4).collect()
+    total = sum(r["y"] for r in rows)
+    assert all(r["y"] <= r["tokens"] for r in rows) and abs(total - 0.4 * 17_800) < 1
+    assert sum(r["y"] for r in rows if r["topic"] == "q") > 499  # has less than its target: drawn whole
+    for m, v, w in (("source", "b", 0.5), ("lang", "y", 0.25)):
+        assert abs(sum(r["y"] for r in rows if r[m] == v) / total - w) < 1e-3
+    half = spark.createDataFrame([("a", "", "", 0), ("b", "", "", 10)], "source string, lang string, topic string, tokens long")
+    assert {r["source"]: r["y"] for r in mixing.drawn(half, None, 0.5).collect()} == {"a": 0.0, "b": 5.0}
+
+
 @pytest.mark.parametrize("make", [lambda d: jaccard_join.jaccard_components(d), lambda d: substring_dedup.duplicated(d), lambda d: pii.personal_data(d)])
 def test_empty_tables_give_no_rows(docs, make):
     assert make(docs.where("false")).count() == 0
