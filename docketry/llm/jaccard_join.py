@@ -20,6 +20,9 @@ every window. Pivots are therefore chosen where distances are below 1:
 Large regions are split: first all blocks are compared to a few pivots, which joins
 groups of near copies in linear work; only regions that still hold several components
 are then joined block against block.
+
+These links suffice for the components. As linked documents are in one component, all
+links are then counted by comparing the members of each, large ones block against block.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ HOT_IN_PACK = 32
 BUCKET_BYTES = 64 << 20
 #: Shingles of a region that one task holds; larger regions are dealt out in blocks.
 BLOCK_SHINGLES = 2_000_000
+#: Shingles of a component that are compared as one block when links are counted.
+COUNT_SHINGLES = 100_000
 
 
 def _links(i, n, m):
@@ -271,10 +276,50 @@ def links(sets: DataFrame) -> DataFrame:
     return found.union(cut(grid.join(data, "id").groupBy("region", "i", "j").applyInPandas(_grid, "a long, b long"), "links"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """One row per row of docs (doc_id, text, ...): doc_id, n_shingles, component_id, n_copies.
+def count_links(sets, copies, first=None) -> np.ndarray:
+    """Of each set, the copies of all others that it links with; first: only those of the other block."""
+    m, n = len(sets), np.array([len(s) for s in sets], np.int64)
+    begin = np.concatenate([[0], np.cumsum(n)])
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    out, mark = np.zeros(m, np.int64), np.zeros(len(values), np.int8)
+    for p in range(m - 1 if first is None else first):
+        lo = p + 1 if first is None else first
+        own = code[begin[p] : begin[p + 1]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[code[begin[lo] :]], begin[lo:-1] - begin[lo], dtype=np.int64)
+        mark[own] = 0
+        linked = lo + np.flatnonzero(_links(both, n[lo:], n[p]))
+        out[p] += copies[linked].sum()
+        out[linked] += copies[p]
+    return out
 
-    Null and wordless texts have an empty set and link with nothing; equal sets are one
+
+def _count(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = []
+    for _, g in pdf.groupby("component", sort=False):
+        g = g.sort_values("side")
+        first = int((g["side"] == 0).sum()) if g["i"].iloc[0] < g["j"].iloc[0] else None
+        if first != len(g):
+            out.append(pd.DataFrame({"id": g["id"], "links": count_links(list(g["set"]), g["n_copies"].to_numpy(), first)}))
+    return pd.concat(out) if out else pd.DataFrame({"id": np.zeros(0, np.int64), "links": np.zeros(0, np.int64)})
+
+
+def link_counts(sets: DataFrame, comp: DataFrame, copies: DataFrame) -> DataFrame:
+    """(id, links) of the sets (id, n, set) of components (id, component), each as often as copies (id, n_copies) says."""
+    member = cut(comp.join(sets.select("id", "n"), "id"), "members")
+    size = member.groupBy("component").agg(F.ceil(F.sum("n") / COUNT_SHINGLES).cast("int").alias("blocks"), F.sum("n").alias("weight"))
+    size = cut(size, "sizes")
+    tasks = max(12, -(-(size.where("blocks = 1").agg(F.sum("weight").alias("w")).first()["w"] or 0) // BLOCK_SHINGLES))
+    rows = member.drop("n").join(size, "component").join(copies, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int"))
+    rows = rows.select("id", "component", "n_copies", "block", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(tasks))).otherwise(F.col("component")).alias("task"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("id", "component", "n_copies", "task", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    return rows.join(sets.select("id", "set"), "id").groupBy("task", "i", "j").applyInPandas(_count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
+
+
+def jaccard_components(docs: DataFrame, count: bool = False) -> DataFrame:
+    """One row per row of docs (doc_id, text, ...): doc_id, n_shingles, component_id, n_copies and, with count, n_links.
+
+    n_links is the number of other rows that a row links with, those of equal sets among them. Null and wordless texts have an empty set and link with nothing; equal sets are one
     class and link with each other. Rows without a doc_id are left out; repeated doc_ids
     give a row each. An empty table gives no rows. Columns other than doc_id and text are
     not read.
@@ -285,11 +330,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     classes = cut(classes, "classes")
     near = classes.where("near").select(F.col("rep").alias("doc_id"))
     sets = docs.join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, n long, low array<long>, set array<long>")
-    comp = components(links(cut(sets, "sets")))
-    classes = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("key", "n_copies", F.coalesce("component", "rep").alias("component_id"))
-    alone = all_.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"))
-    return all_.where("n > 0").join(classes, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_copies").union(alone)
+    sets = cut(sets, "sets")
+    comp = components(links(sets))
+    own = []
+    if count:
+        comp = cut(comp, "cc")
+        found = link_counts(sets, comp, classes.select(F.col("rep").alias("id"), "n_copies"))
+        comp, own = comp.join(found, "id", "left"), [(F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links")]
+    classes = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("key", "n_copies", F.coalesce("component", "rep").alias("component_id"), *own)
+    alone = all_.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"), *([F.lit(0).cast("long").alias("n_links")] if count else []))
+    return all_.where("n > 0").join(classes, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_copies", *(["n_links"] if count else [])).union(alone)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), count=True)

@@ -87,6 +87,16 @@ def test_jaccard_join_splits_large_regions(spark, docs, monkeypatch):
     assert {(r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(docs).collect()} == set(want.items())
 
 
+@pytest.mark.parametrize("block", [100_000, 150])
+def test_jaccard_join_counts_all_links(docs, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "COUNT_SHINGLES", block)
+    rows = [*corpus(), corpus()[3]]
+    sets = [(r[0], shingle_set(r[1])) for r in rows]
+    want = sorted((i, sum(j != k and 100 * len(a & b) >= 75 * len(a | b) for k, (_, b) in enumerate(sets)) if a else 0) for j, (i, a) in enumerate(sets))
+    assert sorted((r["doc_id"], r["n_links"]) for r in jaccard_join.jaccard_components(docs, count=True).collect()) == want
+    assert sum(n for _, n in want) > 60
+
+
 def test_local_links_connects_what_all_pairs_connect():
     rng = random.Random(5)
     base = [rng.randrange(2**62) for _ in range(60)]
