@@ -86,7 +86,7 @@ def case_key_dedup(spark, d):
 
 @query(r"select doc_id, n, n > 0.02 * greatest(1, length(text)) as garbled from (select doc_id, text, length(text) - length(regexp_replace(text, '[\x00-\x08\x0b\x0e-\x1f\x7f]', '', 'g')) as n from (select doc_id, case when doc_id % 5 = 0 then repeat(chr(1), (doc_id % 40)::int) || substr(text, 1, 300) else text end as text from documents))")
 def garbled_flag(spark, d):
-    t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.repeat(F.lit("\x01"), (F.col("doc_id") % 40).cast("int")), F.substring("text", 1, 300))).otherwise(F.col("text"))
+    t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.repeat(F.lit("\x01"), (F.col("doc_id") % 40).cast("int")), "text")).otherwise(F.col("text"))
     return _t(spark, d, "documents").select("doc_id", t.alias("text")).select("doc_id", X.count_class("text", V.CONTROL).cast("long").alias("n"), X.garbled("text").alias("garbled"))
 
 

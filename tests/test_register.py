@@ -113,6 +113,13 @@ def test_text_routing(spark):
     assert one(spark, X.garbled("a"), a="a\x0c\t" * 9) is False and one(spark, X.needs_reread("a", F.lit(10)), a="x" * 2510) is True
 
 
+def test_garbled_query_judges_whole_texts(spark, tmp_path):
+    rows = [(5, "a" * 400 + "\x02" * 50), (6, "a" * 400 + "\x02" * 50), (40, "a" * 5000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n"], r["garbled"]) for r in registry.queries()["garbled_flag"](spark, str(tmp_path)).collect()}
+    assert got == {5: (55, True), 6: (50, True), 40: (0, False)}
+
+
 def test_figures_and_containment(spark):
     assert one(spark, X.figures("a"), a="pay\n98765 and ₹12,34,567.50 v1234 x12 123abc 99") == ["98765", "1234567.50"]
     assert one(spark, X.unseen_figures("a", "b"), a="98,765 and 4321", b="the 98765") == ["4321"]
