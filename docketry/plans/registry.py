@@ -264,8 +264,8 @@ q as (select doc_id, m, w, coalesce(ov, 1) as ov, length(regexp_replace(m, '^\\s
 select doc_id, case when lm = 0 then 'blank' when lw < 120 and lm > 400 then 'invented-on-blank-page' when lw < 120 then 'ok-sparse' when ov < 0.15 and length(m) > 2.0 * length(w) then 'drift' else 'ok' end as verdict, case when lm = 0 then case when lw >= 120 then length(w) else 0 end when lw < 120 and lm > 400 then 0 when lw >= 120 and ov < 0.15 and length(m) > 2.0 * length(w) then length(w) else length(m) end as chars from q""".replace("\\\\", "\\"))
 def page_judge_3gram(spark, d):
     docs = _t(spark, d, "documents")
-    b = docs.select((F.col("doc_id") - 11).alias("doc_id"), F.col("text").alias("w"), F.col("source").alias("s"))
-    p = docs.join(b, "doc_id").where("s <> source").select("doc_id", evidence.judge_page("text", "w").alias("j"))
+    b = docs.select((F.col("doc_id") - 11).alias("doc_id"), F.col("text").alias("w"))
+    p = docs.join(b, "doc_id").select("doc_id", evidence.judge_page("text", "w").alias("j"))
     return p.select("doc_id", F.regexp_replace("j.verdict", r"-\d\.\d\d$", "").alias("verdict"), F.length("j.text").cast("long").alias("chars"))
 
 

@@ -146,6 +146,13 @@ def test_page_judge(spark):
     assert judge(other, page) == (page, "drift-0.00") and judge(page, page) == (page, "ok-1.00")
 
 
+def test_page_judge_query_judges_every_document_with_a_partner(spark, tmp_path):
+    rows = [(k, f"page {k} " + "some words of a page that both reads have " * 4, "hot" if k < 15 else "s") for k in range(25)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.queries()["page_judge_3gram"](spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(14)) and {r["verdict"] for r in got} == {"ok"}
+
+
 def test_grounding(spark):
     a, b = "one two three four five six seven", "zero one two three four five six"
     assert abs(one(spark, X.overlap("a", "b"), a=a, b=b) - 2 / 3) < 1e-12 and one(spark, X.overlap("a", "b"), a="too short", b=b) == 1.0
