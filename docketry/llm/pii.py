@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,14 +85,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _key(text, most=24):
+    """The text, or for a long one its beginning and a hash of the whole: equal only for equal texts."""
+    return text if len(text) <= most else f"{text[:most]}#{xxhash.xxh3_128_hexdigest(text.encode('utf-8', 'surrogatepass'))}"
+
+
 def _shape(value):
     for run, mark in _RUNS:
         value = run.sub(mark, value)
-    return value[:24]
+    return _key(value)
 
 
 def _word(w):
-    return _RUNS[0][0].sub("9", w.lower())[:24]
+    return _key(_RUNS[0][0].sub("9", w.lower()))
 
 
 def cases(text: str, spans) -> list[dict]:
@@ -124,7 +130,7 @@ def cases(text: str, spans) -> list[dict]:
         left = [_word(text[units[i][0] : units[i][1]]) if i >= 0 else "^" for i in (j - 2, j - 1)]
         right = _word(text[units[j + 1][0] : units[j + 1][1]]) if j + 1 < len(units) else "$"
         s = _shape(value)
-        out.append({"start": a, "end": b, "kind": kind, "value": value[:200], "patterns": [f"l1 {left[1]} {s}", f"l2 {left[0]} {left[1]} {s}", f"lr {left[1]} {right} {s}"]})
+        out.append({"start": a, "end": b, "kind": kind, "value": _key(value, 200), "patterns": [f"l1 {left[1]} {s}", f"l2 {left[0]} {left[1]} {s}", f"lr {left[1]} {right} {s}"]})
     return out
 
 

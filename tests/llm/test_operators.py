@@ -210,6 +210,14 @@ def test_pii_bootstraps_unseen_identifiers(spark):
     assert got[51][0]["spans"] == got[52][0]["spans"] == "" and got[53][0]["n_found"] == 0
 
 
+def test_long_tokens_are_kept_apart():
+    long = ["x" * 150 + "-1" * 60 + end for end in ("a", "-", "a")]
+    one, two, same = (pii.cases(f"see {t} now", [])[0] for t in long)
+    assert one["value"] != two["value"] and not set(one["patterns"]) & set(two["patterns"])
+    assert one == same and len(one["value"]) < 250
+    assert pii.cases("w" * 24 + "a 12", [])[0]["patterns"] != pii.cases("w" * 24 + "b 12", [])[0]["patterns"]
+
+
 def test_bootstrap_scores_shared_contexts(spark):
     edges = [("p", f"v{k}", 1) for k in range(8)] + [("p", "new", -1), ("q", "new", -1), ("q", "v0", 1), ("r", "other", -1)]
     got = {(r["pattern"], r["kind"]): r for r in pii.bootstrap(spark.createDataFrame(edges, "pattern string, value string, kind int")).collect()}
