@@ -55,7 +55,8 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 # ------------------------------------------------------------------ hashing
 
 _RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
+CASED = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
+_BYTE = CASED.copy()
 for _c in range(ord("A"), ord("Z") + 1):
     _BYTE[_c] = _BYTE[_c + 32]
 _SPACE = np.zeros(256, dtype=bool)
@@ -85,7 +86,7 @@ def _powers(n: int):
 class Words:
     """Words of a chunk of texts: hash, first and last byte, and where each text's words begin."""
 
-    def __init__(self, texts: pa.Array, space: np.ndarray = _SPACE):
+    def __init__(self, texts: pa.Array, space: np.ndarray = _SPACE, byte: np.ndarray = _BYTE):
         texts = texts.cast(pa.large_string()) if not pa.types.is_large_string(texts.type) else texts
         if texts.null_count:
             texts = texts.fill_null("")
@@ -114,10 +115,15 @@ class Words:
         p, q = _powers(len(b))
         total = np.empty(len(b) + 1, np.uint64)
         total[0] = 0
-        np.cumsum(_BYTE[b] * p, out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * q[self.start])
+        np.cumsum(byte[b] * p, out=total[1:])
+        self._total, self._back = total, q
+        self.hash = self.hash_of(self.start, self.end)
         self.first = np.searchsorted(self.start, off)
 
+    def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of runs of bytes, those of equal words where they are words."""
+        return mix((self._total[end] - self._total[start]) * self._back[start])
+
     def shingles(self, k: int = SHINGLE):
         """(hashes, first): k-word hashes in text order; a shorter text has its whole sequence as one."""
         w, first = self.hash, self.first

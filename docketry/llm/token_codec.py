@@ -1,17 +1,19 @@
 """Token-ID output by an adaptive context-mixing range coder (operator 8).
 
-Format of a segment (little-endian): b"CMR1", uint32 blocks; for each block uint32 ids,
-uint32 words, uint32 CRC-32 of the ids as uint32; then the blocks' 16-bit words one after
-another. A block holds BLOCK ids or fewer, starts from a fresh model and can be decoded
-alone. Coding an id x after ids p1 (last) and p2:
-
-* order 2 and order 1 each predict an id from a table hashed by context, with a confidence
-  0..3; the surer one, order 2 if equal, is the candidate.
-* a flag says whether x is the candidate. Its probability mixes a counter chosen by both
-  confidences with one chosen by the last four flags, by a weight that moves to whichever
-  was closer.
-* otherwise order 0 codes x >> 8 (255: 24 bits of it follow) by counts of the block so far, and
-  the low byte follows as it is.
+Format of a segment (little-endian): b"CMR2", uint32 blocks; for each block uint32 ids,
+uint32 words, uint32 CRC-32 of the ids as uint32; the order-0 table (uint32 symbols, uint32
+bytes, and so many bytes of zlib: byte planes of the differences of its ids, then of their
+frequencies and that of any other id); then the blocks' 32-bit words one after another. A
+block holds BLOCK ids or fewer, starts from a fresh model and can be decoded alone. Coding
+an id x after ids p1 (last) and p2:
+
+* order 2 and order 1 each predict the id that last followed their context in the block,
+  from a table hashed by context; the candidate is that of order 2, else that of order 1.
+* a flag says whether x is the candidate. Its probability mixes a counter chosen by which
+  orders know something and whether they agree with one chosen by the last four flags too,
+  by a weight that moves to whichever was closer.
+* otherwise order 0 codes x by the frequencies of the segment (a segment of less than LARGE
+  ids has none: any other id); any other id has its 32 bits follow.
 
 Arithmetic is on integers only, so every machine decodes alike. Blocks are coded in
 lockstep: each numpy operation handles one id of each block of a segment.
@@ -19,91 +21,138 @@ lockstep: each numpy operation handles one id of each block of a segment.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, shared_dir, table, text_bytes
+from .common import CASED, Words, chunks, shared_dir, table, text_bytes
 
-MAGIC = b"CMR1"
-BLOCK = 2048
+MAGIC = b"CMR2"
+#: Ids of a block, and of a segment that has an order-0 table.
+BLOCK, LARGE = 2048, 1 << 16
 #: Ids of a segment (a row of the file, and what a worker codes at once) and text of a file.
 SEGMENT, FILE_BYTES = 12 << 20, 24 << 20
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
-SLOTS, REFRESH = 256, 128  # 256: the top byte of a 32-bit hash
+SLOTS, _SHIFT = 2048, np.uint32(21)  # the top 11 bits of a 32-bit hash
+#: Ids in the order-0 table at most, and the sum of its frequencies.
+SYMBOLS, TOTAL = 20_000, 1 << 16
+#: Ids below this are counted and ranked by a table instead of a search.
+DIRECT = 1 << 18
 REMEMBERED = 400_000
-# The coder's low end has 48 bits; a range under 32 bits is short.
-_LOW, _SHORT = np.uint64((1 << 48) - 1), np.uint64(1 << 32)
-_12, _16, _32, _8, _255 = np.uint64(12), np.uint64(16), np.uint64(32), np.uint32(8), np.uint32(255)
+_12, _16, _32, _SHORT = np.uint64(12), np.uint64(16), np.uint64(32), np.uint64(1 << 32)
+_TOP = np.uint64(2**64 - 1)
+
+
+def _counted(ids: np.ndarray):
+    count = np.bincount(ids)
+    symbols = np.flatnonzero(count)
+    return symbols.astype(np.uint32), count[symbols]
+
+
+class _Table:
+    """Order 0: the more frequent ids of a segment with frequencies that sum to TOTAL; the last symbol is any other id."""
+
+    def __init__(self, symbols: np.ndarray, freq: np.ndarray):
+        self.symbols, self.freq = symbols, freq.astype(np.uint64)
+        self.cum = np.cumsum(self.freq) - self.freq
+        self.other = len(symbols)
+        self.by_value = np.repeat(np.arange(len(freq)), freq)
+
+    @classmethod
+    def of(cls, ids: np.ndarray):
+        if len(ids) < LARGE:
+            return cls(np.zeros(0, np.uint32), np.array([TOTAL]))
+        symbols, count = np.unique(ids, return_counts=True) if ids.max() >= DIRECT else _counted(ids)
+        if len(symbols) > SYMBOLS:
+            keep = np.sort(np.argsort(-count, kind="stable")[:SYMBOLS])
+            symbols, count = symbols[keep], count[keep]
+        count = np.append(count, max(1, len(ids) - count.sum()))
+        freq = np.maximum(1, count * (TOTAL - len(count)) // count.sum())
+        freq[freq.argmax()] += TOTAL - freq.sum()
+        return cls(symbols, freq)
+
+    def pack(self) -> bytes:
+        body = zlib.compress(np.concatenate([np.diff(self.symbols, prepend=np.uint32(0)).astype("<u4"), self.freq.astype("<u4")]).view(np.uint8).reshape(-1, 4).T.tobytes(), 9) if self.other else b""
+        return struct.pack("<II", self.other, len(body)) + body
+
+    @classmethod
+    def unpack(cls, data: bytes, at: int):
+        n, size = struct.unpack_from("<II", data, at)
+        if not n:
+            return cls(np.zeros(0, np.uint32), np.array([TOTAL])), at + 8
+        planes = np.frombuffer(zlib.decompress(data[at + 8 : at + 8 + size]), np.uint8).reshape(4, -1)
+        both = np.ascontiguousarray(planes.T).view("<u4")[:, 0]
+        return cls(np.cumsum(both[:n], dtype=np.uint32), both[n:].astype(np.int64)), at + 8 + size
+
+    def rank(self, ids: np.ndarray) -> np.ndarray:
+        if self.other and ids.max() < DIRECT:
+            direct = np.full(DIRECT, self.other, np.uint16)
+            direct[self.symbols[self.symbols < DIRECT]] = np.arange((self.symbols < DIRECT).sum())
+            return direct.take(ids)
+        at = np.searchsorted(self.symbols, ids)
+        return np.where(self.symbols[np.minimum(at, self.other - 1)] == ids, at, self.other) if self.other else np.zeros(len(ids), np.int64)
 
 
 class _Model:
+    """Orders 1 and 2 of all blocks: the id that last followed a context, plus 1 (0: none yet), and the flag's odds."""
+
     def __init__(self, lanes: int):
-        small = np.int32
-        self.id1, self.id2 = np.zeros(lanes * SLOTS, np.uint32), np.zeros(lanes * SLOTS, np.uint32)
-        self.c1, self.c2 = np.zeros(lanes * SLOTS, np.int8), np.zeros(lanes * SLOTS, np.int8)
-        self.by_sure, self.by_past = np.full(lanes * 16, 8192, small), np.full(lanes * 16, 8192, small)
-        self.weight, self.past = np.full(lanes, 32, small), np.zeros(lanes, small)
+        self.next1, self.next2 = np.zeros(lanes * SLOTS, np.uint32), np.zeros(lanes * SLOTS, np.uint32)
+        self.by_state, self.by_past = np.full(lanes * 8, 8192, np.int32), np.full(lanes * 64, 8192, np.int32)
+        self.weight, self.past = np.full(lanes, 32, np.int32), np.zeros(lanes, np.int64)
         self.p1, self.p2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        self.count = np.ones((lanes, 256), small)
-        self.cum = np.zeros((lanes, 257), small)  # the last column is above any value looked for
-        self.slot, self.sixteen = np.arange(lanes, dtype=np.int64) * SLOTS, np.arange(lanes, dtype=np.int64) * 16
-        self.refresh(lanes)
-
-    def refresh(self, n: int):
-        total = np.cumsum(self.count[:n], axis=1, dtype=np.int32)
-        total *= 3840
-        total //= total[:, -1:] // 3840
-        total += np.arange(1, 257, dtype=np.int32)
-        self.cum[:n, 1:] = total
+        lane = np.arange(lanes, dtype=np.int64)
+        self.slot, self.eight, self.sixty4 = lane * SLOTS, lane * 8, lane * 64
 
     def predict(self, n: int):
-        p1, slot, sixteen = self.p1[:n], self.slot[:n], self.sixteen[:n]
-        k1 = p1 * np.uint32(0x9E3779B1)
-        h1 = slot + (k1 >> np.uint32(24))
-        h2 = slot + ((k1 ^ (self.p2[:n] * np.uint32(0xC2B2AE35))) * np.uint32(0x85EBCA6B) >> np.uint32(24))
-        c1, c2 = self.c1.take(h1), self.c2.take(h2)
-        g1, g2 = self.id1.take(h1), self.id2.take(h2)
-        a, b = sixteen + (c2 * np.int8(4) + c1), sixteen + self.past[:n]
-        pa_, pb = self.by_sure.take(a), self.by_past.take(b)
-        p = (pb * 64 + (pa_ - pb) * self.weight[:n]) >> 10
+        k = self.p1[:n] * np.uint32(0x9E3779B1)
+        h1 = self.slot[:n] + (k >> _SHIFT)
+        k ^= self.p2[:n]
+        k *= np.uint32(0x85EBCA6B)
+        h2 = self.slot[:n] + (k >> _SHIFT)
+        g1, g2 = self.next1.take(h1), self.next2.take(h2)
+        two = g2 != 0
+        guess = np.where(two, g2, g1)
+        state = two * np.int8(2) + ((guess == g1) & (g1 != 0))  # 0: nothing known, 1: order 1, 2: order 2 against 1, 3: both
+        past = self.past[:n]
+        a = self.eight[:n] + (state * np.int8(2) + (past & 1))
+        b = self.sixty4[:n] + (state * np.int8(16) + past)
+        one, other = self.by_state.take(a), self.by_past.take(b)
+        p = (other * 64 + (one - other) * self.weight[:n]) >> 10
         np.minimum(p, 4094, out=p)
         np.maximum(p, 2, out=p)
-        self._at = h1, h2, c1, c2, g1, g2, a, b, pa_, pb
-        return np.where(c2 >= np.maximum(c1, 1), g2, g1), p.astype(np.uint64)
+        self._at = h1, h2, a, b, one, other
+        return guess, p.astype(np.uint64)
 
     def update(self, n: int, x, hit):
-        h1, h2, c1, c2, g1, g2, a, b, pa_, pb = self._at
-        for ids, conf, h, c, g in ((self.id1, self.c1, h1, c1, g1), (self.id2, self.c2, h2, c2, g2)):
-            same = g == x
-            conf[h] = _CONFIDENCE.take(same * np.int8(4) + c)
-            k = np.flatnonzero(~same & (c == 0))
-            ids[h[k]] = x[k]
+        """x: the ids plus 1."""
+        h1, h2, a, b, one, other = self._at
+        self.next1[h1] = x
+        self.next2[h2] = x
         goal = hit * np.int32(65535)
-        ea, eb = goal - pa_, goal - pb
-        self.by_sure[a] = pa_ + (ea >> 4)
-        self.by_past[b] = pb + (eb >> 5)
+        ea, eb = goal - one, goal - other
+        self.by_state[a] = one + (ea >> 5)
+        self.by_past[b] = other + (eb >> 4)
         w = self.weight[:n]
-        w += np.sign(np.abs(eb) - np.abs(ea))
+        w += np.abs(ea) < np.abs(eb)
+        w -= np.abs(eb) < np.abs(ea)
         np.minimum(w, 60, out=w)
         np.maximum(w, 4, out=w)
         past = self.past[:n]
-        past *= 2
+        past <<= 1
         past += hit
         past &= 15
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = x
 
 
-#: The next confidence, by whether the prediction held (4) and the confidence so far.
-_CONFIDENCE = np.array([1, 0, 1, 2, 1, 2, 3, 3], np.int8)
-
-
 def _lanes(total: int):
     """Lengths of the blocks of `total` ids; all but the last are full, so active ones come first."""
     full, rest = divmod(total, BLOCK)
@@ -117,83 +166,80 @@ def encode(ids: np.ndarray) -> bytes:
     lanes = len(length)
     if not lanes:
         return MAGIC + struct.pack("<I", 0)
-    grid = np.zeros((lanes, BLOCK), np.uint32)
+    table, steps = _Table.of(ids), int(length[0])
+    grid = np.zeros((lanes, steps), np.uint32)
     grid.flat[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.T)
-    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _LOW, np.uint64)
-    cap = 4 * BLOCK + 4
+    ranks = np.zeros((lanes, steps), np.uint16)
+    for at in range(0, len(ids), 1 << 20):
+        ranks.flat[at : at + (1 << 20)] = table.rank(ids[at : at + (1 << 20)])[: len(ids) - at]
+    far = ranks == table.other
+    cap = steps - steps // 8 + int(far.sum(axis=1).max()) + 4  # a step takes 28 bits, and 32 more for an id outside the table
+    any_far = far.any(axis=0)
+    del far
+    grid, ranks = np.ascontiguousarray(grid.T), np.ascontiguousarray(ranks.T)
+    low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _TOP, np.uint64)
     out = np.zeros(lanes * cap, np.uint32)
     base = np.arange(lanes, dtype=np.int64) * cap
     pos = base.copy()  # of the next word of each block in out
-    cums = np.arange(lanes, dtype=np.int64) * 257
+    carries = []
     model = _Model(lanes)
 
-    def settle(n):
-        """A carry goes to the word before; where the range is short a word goes out."""
-        nonlocal low, rng, pos
-        l, r, at = low[:n], rng[:n], pos[:n]
-        over = np.flatnonzero(l > _LOW)
+    def add(who, more):
+        l = low[who] + more
+        over = who[l < more]
         if len(over):
-            out[at[over] - 1] += 1
-            l &= _LOW
-        for _ in range(2):
-            short = r < _SHORT
-            out[at] = l >> _32
-            at += short
-            shift = short * _16
-            l <<= shift
-            l &= _LOW
-            r <<= shift
-
-    for t in range(int(length[0])):
+            carries.append(pos[over] - 1)
+        return l
+
+    def settle(n):
+        short = np.flatnonzero(rng[:n] < _SHORT)
+        l, at = low[short], pos[short]
+        out[at] = l >> _32
+        pos[short] = at + 1
+        low[short] = l << _32
+        rng[short] <<= _32
+
+    for t in range(steps):
         n = lanes if t < length[-1] else lanes - 1
         x = grid[t, :n]
         guess, p = model.predict(n)
-        hit = guess == x
-        miss = ~hit
-        l, r = low[:n], rng[:n]
-        bound = (r >> _12) * p
-        l += bound * miss
-        r[:] = np.where(hit, bound, r - bound)
-        top = np.minimum(x >> _8, _255).astype(np.int64)
-        at = cums[:n] + top
-        c0 = model.cum.take(at)
-        f = np.where(hit, 4096, model.cum.take(at + 1) - c0)
-        part = r >> _12
-        l += part * (c0 * miss).astype(np.uint64)
-        np.multiply(part, f.astype(np.uint64), out=r)
-        who = np.flatnonzero(miss)
-        model.count[who, top[who]] += 32
-        far = who[top[who] == 255]
-        if len(far):
+        plus = x + np.uint32(1)
+        hit = (guess == plus) & (guess != 0)
+        bound = (rng[:n] >> _12) * p
+        who = np.flatnonzero(~hit)
+        rest = bound[who]
+        part = (rng[who] - rest) >> _16
+        s = ranks[t].take(who)
+        low[who] = add(who, rest + part * table.cum.take(s))
+        rng[:n] = bound
+        rng[who] = part * table.freq.take(s)
+        if any_far[t]:
+            who = who[s == table.other]
             settle(n)
-            high = (x[far] >> _8).astype(np.uint64)
-            part = r[far] >> np.uint64(24)
-            l[far] += part * high
-            r[far] = part
-            settle(n)
-        r >>= miss * np.uint64(8)
-        l += r * ((x & _255) * miss).astype(np.uint64)
+            part = rng[who] >> _32
+            low[who] = add(who, part * x[who])
+            rng[who] = part
         settle(n)
-        model.update(n, x, hit)
-        if t % REFRESH == REFRESH - 1:
-            model.refresh(n)
-    for k in (32, 16, 0):
-        out[pos] = (low >> np.uint64(k)) & np.uint64(0xFFFF)
+        model.update(n, plus, hit)
+    del grid, ranks
+    for k in (32, 0):
+        out[pos] = (low >> np.uint64(k)) & (_SHORT - np.uint64(1))
         pos += 1
     pos -= base
-    words = out.reshape(lanes, cap)[:, : int(pos.max())]
-    words = np.ascontiguousarray(words.T)
+    words = np.ascontiguousarray(out.reshape(lanes, cap)[:, : int(pos.max())].T).astype(np.uint64)
+    if carries:
+        row, column = np.divmod(np.concatenate(carries), cap)
+        np.add.at(words, (column, row), np.uint64(1))
     for k in range(len(words) - 1, 0, -1):
-        carry = words[k] >> 16
+        carry = words[k] >> _32
         if carry.any():
             words[k - 1] += carry
-            words[k] &= 0xFFFF
+            words[k] &= _SHORT - np.uint64(1)
     at = np.concatenate([[0], np.cumsum(length)])
     head = [struct.pack("<III", int(length[d]), int(pos[d]), zlib.crc32(ids[at[d] : at[d + 1]].astype("<u4").tobytes())) for d in range(lanes)]
-    words = np.ascontiguousarray(words.T)
-    body = words[np.arange(words.shape[1])[None, :] < pos[:, None]].astype("<u2")
-    return MAGIC + struct.pack("<I", lanes) + b"".join(head) + body.tobytes()
+    words = words.astype("<u4").T
+    body = words[np.arange(words.shape[1])[None, :] < pos[:, None]]
+    return MAGIC + struct.pack("<I", lanes) + b"".join(head) + table.pack() + body.tobytes()
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -205,66 +251,50 @@ def decode(data: bytes) -> np.ndarray:
     length, count = head[:, 0], head[:, 1]
     if not lanes:
         return np.zeros(0, np.uint32)
-    words = np.append(np.frombuffer(data, "<u2", int(count.sum()), 8 + 12 * lanes), np.zeros(8, np.uint16)).astype(np.uint16)
+    table, at = _Table.unpack(data, 8 + 12 * lanes)
+    words = np.append(np.frombuffer(data, "<u4", int(count.sum()), at), np.zeros(4, "<u4")).astype(np.uint64)
     pos = np.cumsum(count) - count
-    code = (words[pos].astype(np.uint64) << _32) | (words[pos + 1].astype(np.uint64) << _16) | words[pos + 2]
-    pos += 3
+    code = (words[pos] << _32) | words[pos + 1]
+    pos += 2
     edge = len(words) - 1
-    rng = np.full(lanes, _LOW, np.uint64)
-    cums = np.arange(lanes, dtype=np.int64) * 257
+    rng = np.full(lanes, _TOP, np.uint64)
+    steps = int(length[0])
     model = _Model(lanes)
-    grid = np.zeros((BLOCK, lanes), np.uint32)
+    grid = np.zeros((steps, lanes), np.uint32)
+    symbols = np.append(table.symbols, np.uint32(0))
 
     def settle(n):
-        c, r, at = code[:n], rng[:n], pos[:n]
-        for _ in range(2):
-            short = r < _SHORT
-            shift = short * _16
-            c <<= shift
-            c |= words.take(np.minimum(at, edge)) * short
-            at += short
-            r <<= shift
-
-    for t in range(int(length[0])):
+        short = np.flatnonzero(rng[:n] < _SHORT)
+        at = pos[short]
+        code[short] = (code[short] << _32) | words.take(np.minimum(at, edge))
+        pos[short] = at + 1
+        rng[short] <<= _32
+
+    for t in range(steps):
         n = lanes if t < length[-1] else lanes - 1
         guess, p = model.predict(n)
-        c, r = code[:n], rng[:n]
-        bound = (r >> _12) * p
-        hit = c < bound
-        miss = ~hit
-        c -= bound * miss
-        r[:] = np.where(hit, bound, r - bound)
-        part = r >> _12
-        v = np.minimum(c // part, np.uint64(4095)).astype(np.int32)
-        row, top = cums[:n], np.zeros(n, np.int64)
-        for step in (128, 64, 32, 16, 8, 4, 2, 1):  # the last symbol that starts at or before v
-            top += step * (model.cum.take(row + (top + step)) <= v)
-        at = row + top
-        c0 = model.cum.take(at)
-        f = np.where(hit, 4096, model.cum.take(at + 1) - c0)
-        c -= part * (c0 * miss).astype(np.uint64)
-        np.multiply(part, f.astype(np.uint64), out=r)
-        who = np.flatnonzero(miss)
-        model.count[who, top[who]] += 32
-        high = (top << 8).astype(np.uint32)
-        far = who[top[who] == 255]
+        bound = (rng[:n] >> _12) * p
+        hit = (code[:n] < bound) & (guess != 0)
+        who = np.flatnonzero(~hit)
+        rest = bound[who]
+        c, part = code[who] - rest, (rng[who] - rest) >> _16
+        s = table.by_value.take(np.minimum(c // part, np.uint64(TOTAL - 1)).astype(np.int64))
+        code[who] = c - part * table.cum.take(s)
+        rng[:n] = bound
+        rng[who] = part * table.freq.take(s)
+        x = guess - np.uint32(1)
+        x[who] = symbols.take(s)
+        far = who[s == table.other]
         if len(far):
             settle(n)
-            part = r[far] >> np.uint64(24)
-            more = np.minimum(c[far] // part, np.uint64((1 << 24) - 1))
-            c[far] -= part * more
-            r[far] = part
-            high[far] = (more << np.uint64(8)).astype(np.uint32)
-            settle(n)
-        r >>= miss * np.uint64(8)
-        v = np.minimum(c // r, np.uint64(255)) * miss
-        c -= r * v
+            part = np.maximum(rng[far] >> _32, np.uint64(1))
+            value = np.minimum(code[far] // part, _SHORT - np.uint64(1))
+            code[far] -= part * value
+            rng[far] = part
+            x[far] = value
         settle(n)
-        x = np.where(hit, guess, high | v.astype(np.uint32))
         grid[t, :n] = x
-        model.update(n, x, hit)
-        if t % REFRESH == REFRESH - 1:
-            model.refresh(n)
+        model.update(n, x + np.uint32(1), hit)
     ids = np.ascontiguousarray(grid.T).reshape(-1)[: int(length.sum())]
     at = np.concatenate([[0], np.cumsum(length)])
     for d in range(lanes):
@@ -273,90 +303,162 @@ def decode(data: bytes) -> np.ndarray:
     return ids
 
 
+_LETTER, _PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_PUNCTUATION[[ord(c) for c in string.punctuation]] = True
+
+
 class WordIds:
-    """Ids of single words, remembered. Words of letters are encoded 200 to a call and told
-    apart by the end-of-word mark of their last piece; if the marks do not fit, one by one."""
+    """Ids of words, remembered by the hash of each word with A-Z lower-cased, as this kind of vocabulary does.
+
+    Letters with punctuation behind are two words to the tokenizer. Words of letters are
+    encoded many to a call and told apart by the end-of-word mark of their last piece, if
+    the marks fit; ASCII ones by the vocabulary's model alone, as nothing else changes them.
+    All other words are encoded one by one.
+    """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        vocabulary = self.tokenizer.get_vocab()
+        self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer, self.bare.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self.bare.model._resize_cache(0)  # each word comes once
+        vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         for piece, i in vocabulary.items():
             self.ends[i] = piece.endswith("</w>")
-
-    def _single(self, words):
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[w.encode("utf-8")] = np.array(e.ids, "<u4").tobytes()
-
-    def _letters(self, words):
-        groups = [words[k : k + 200] for k in range(0, len(words), 200)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            stop = np.flatnonzero(self.ends[ids]) + 1
-            if len(stop) != len(group) or stop[-1] != len(ids):
-                self._single(group)
-                continue
-            data, a = ids.tobytes(), 0
-            for w, b in zip(group, (stop * 4).tolist(), strict=True):
-                self.known[w.encode("utf-8")] = data[a:b]
-                a = b
-
-    def learn(self, words) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        letters, marked, other = set(), [], []
-        for w in words:
-            if w not in self.known:
-                t = w.decode("utf-8")
-                if t.isalpha():
-                    letters.add(t)
-                elif t[-1] in ".,;:!?" and t[:-1].isalpha():
-                    marked.append((w, t[:-1], t[-1]))
-                    letters.update(x for x in (t[:-1],) if x.encode("utf-8") not in self.known)
+        self.forget()
+
+    def forget(self) -> None:
+        """Of a word: its hash and up to two parts; of a part: where in ids it begins and how many it has. Part 0 is empty."""
+        self.keys, self.of = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the parts
+        self.hash, self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.begin, self.size, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _add(self, sizes, ids) -> None:
+        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.size, self.ids = np.append(self.size, sizes), np.append(self.ids, ids)
+
+    def _single(self, words) -> tuple[list, list]:
+        """(sizes, ids) of words, each encoded by itself."""
+        got = [e.ids for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
+        return list(map(len, got)), [i for ids in got for i in ids]
+
+    def _letters(self, tokenizer, words: list[bytes]) -> tuple[list, list]:
+        """The same of words of letters, many to a call."""
+        sizes, out = [], []
+        groups = [words[j : j + 400] for j in range(0, len(words), 400)]
+        for k in range(0, len(groups), 50):
+            some = groups[k : k + 50]
+            for group, e in zip(some, tokenizer.encode_batch_fast([b" ".join(g).decode("utf-8") for g in some], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                stop = np.flatnonzero(self.ends[ids]) + 1
+                if len(stop) == len(group) and stop[-1] == len(ids):
+                    sizes.append(np.diff(stop, prepend=0))
+                    out.append(ids)
                 else:
-                    other.append(t)
-        other += [m for m in {m for _, _, m in marked} if m.encode() not in self.known]
-        letters, other = sorted(letters), sorted(other)
-        for k in range(0, len(letters), 20_000):
-            self._letters(letters[k : k + 20_000])
-        for k in range(0, len(other), 20_000):
-            self._single(other[k : k + 20_000])
-        for w, core, mark in marked:
-            self.known[w] = self.known[core.encode("utf-8")] + self.known[mark.encode()]
+                    for w, got in zip(group, self.whole.encode_batch_fast([w.decode("utf-8") for w in group], add_special_tokens=False), strict=True):
+                        sizes.append([len(got.ids)])
+                        out.append(got.ids)
+        return np.concatenate(sizes), np.concatenate(out)
+
+    def _part(self, w: Words, start: np.ndarray, end: np.ndarray, learn, data: bytes) -> np.ndarray:
+        """The parts that stand at these places; learn gives sizes and ids of the unknown ones."""
+        keys, at, inverse = np.unique(w.hash_of(start, end), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(np.append(self.keys, np.uint64(0))[place] != keys)
+        if len(new):
+            before = len(self.size)
+            self._add(*(np.asarray(x, kind) for x, kind in zip(learn([data[a:b] for a, b in zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)]), (np.int64, np.uint32), strict=True)))
+            self.of = np.insert(self.of, place[new], np.arange(before, len(self.size)))
+            self.keys = np.insert(self.keys, place[new], keys[new])
+            place = np.searchsorted(self.keys, keys)
+        return self.of[place][inverse]
+
+    def learn(self, w: Words, new: np.ndarray) -> None:
+        """Of words number new of a chunk, none of them known and no two alike."""
+        start, end = w.start[new], w.end[new]
+        here = np.arange(1, len(w.bytes) + 1, dtype=np.int32)
+        here[_PUNCTUATION[w.bytes]] = 0
+        last = np.maximum.accumulate(here)[end - 1].astype(np.int64)  # where the word ends without punctuation behind
+        letters = np.append(0, np.cumsum(_LETTER[w.bytes], dtype=np.int32))
+        plain = (last > start) & (letters[np.maximum(last, start)] - letters[start] == last - start)
+        data = w.bytes.tobytes()
+        first, second = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        first[plain] = self._part(w, start[plain], last[plain], lambda words: self._letters(self.bare, words), data.lower())
+        at = np.flatnonzero(~plain)
+        core = np.array([last[k] > start[k] and data[start[k] : last[k]].decode("utf-8").isalpha() for k in at.tolist()], bool)
+
+        def single(words):
+            return self._single([x.decode("utf-8") for x in words])
+
+        first[at[core]] = self._part(w, start[at[core]], last[at[core]], lambda words: self._letters(self.whole, words), data)
+        first[at[~core]] = self._part(w, start[at[~core]], end[at[~core]], single, data)
+        plain[at[core]] = True
+        at = np.flatnonzero(plain & (last < end))
+        second[at] = self._part(w, last[at], end[at], single, data)
+        hashes = np.append(self.hash, w.hash[new])
+        order = np.argsort(hashes, kind="stable")
+        self.hash, self.first, self.second = hashes[order], np.append(self.first, first)[order], np.append(self.second, second)[order]
+
+    def encode(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes): the ids of the texts of a chunk (see words_of) one after another, and how many each text has."""
+        hashes, at, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
+        if len(self.hash) + len(hashes) > REMEMBERED:
+            self.forget()
+        found = np.minimum(np.searchsorted(self.hash, hashes), max(len(self.hash) - 1, 0))
+        new = np.flatnonzero(self.hash[found] != hashes) if len(self.hash) else np.arange(len(hashes))
+        if len(new):
+            self.learn(w, at[new])
+        known = np.searchsorted(self.hash, hashes)
+        first, second = self.first[known], self.second[known]
+        if second.any():
+            part = np.stack([first, second], axis=1)[inverse].reshape(-1)
+            per = 2
+        else:
+            part, per = first[inverse], 1
+        size = self.size[part]
+        stop = np.cumsum(size)
+        total = int(stop[-1]) if len(stop) else 0
+        gather = np.repeat(self.begin[part] - (stop - size), size)
+        gather += np.arange(total)
+        before = np.append(0, stop)[per * w.first]
+        return self.ids[gather], np.diff(before)
+
+
+def words_of(texts: pa.Array) -> Words:
+    """The words of a chunk, with A-Z as a-z but where a text may hold a special token, which is told from its look-alikes."""
+    found = pc.any(pc.match_substring(texts, "<|")).as_py()
+    return Words(texts, byte=CASED) if found else Words(texts)
 
 
 def _writer(path: str, end_id: int):
     def run(batches):
         words = WordIds(path)
-        end = np.array([end_id], "<u4").tobytes()
         shard, segment = TaskContext.get().partitionId(), 0
         docs, sizes, parts, held = [], [], [], 0
 
         def row():
-            data = np.frombuffer(b"".join(parts), "<u4")
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([segment], pa.int64()), pa.array([len(data)], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([encode(data)], pa.binary())], ["shard", "segment", "n_ids", "docs", "sizes", "payload"])
+            data = np.concatenate(parts)
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([segment], pa.int64()), pa.array([len(data)], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([np.concatenate(sizes)], pa.list_(pa.int64())), pa.array([encode(data)], pa.binary())], ["shard", "segment", "n_ids", "docs", "sizes", "payload"])
 
         for part in chunks(batches):
-            texts = [(t or "").encode("utf-8").split() for t in part.column(1).to_pylist()]
-            new = set()
-            for t in texts:
-                new.update(t)
-            words.learn(new)
-            known = words.known
-            for doc_id, t in zip(part.column(0).to_pylist(), texts, strict=True):
-                ids = b"".join(map(known.__getitem__, t)) + end
-                docs.append(doc_id)
-                sizes.append(len(ids) // 4)
-                parts.append(ids)
-                held += len(ids) // 4
-                if held >= SEGMENT:
-                    yield row()
-                    docs, sizes, parts, held, segment = [], [], [], 0, segment + 1
+            ids, size = words.encode(words_of(part.column(1)))
+            stop = np.cumsum(size + 1)
+            whole = np.full(int(stop[-1]), end_id, np.uint32)
+            inside = np.ones(len(whole), bool)
+            inside[stop - 1] = False
+            whole[inside] = ids
+            docs += part.column(0).to_pylist()
+            sizes.append(size + 1)
+            parts.append(whole)
+            held += len(whole)
+            if held >= SEGMENT:
+                yield row()
+                docs, sizes, parts, held, segment = [], [], [], 0, segment + 1
         if docs:
             yield row()
 
