@@ -26,6 +26,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -45,7 +46,8 @@ SLOTS, _SHIFT = 2048, np.uint32(21)  # the top 11 bits of a 32-bit hash
 SYMBOLS, TOTAL = 20_000, 1 << 16
 #: Ids below this are counted and ranked by a table instead of a search.
 DIRECT = 1 << 18
-REMEMBERED = 400_000
+#: Words that a worker remembers (some 60 bytes each); a full memory is emptied, which changes no result.
+REMEMBERED = 1_000_000
 _12, _16, _32, _SHORT = np.uint64(12), np.uint64(16), np.uint64(32), np.uint64(1 << 32)
 _TOP = np.uint64(2**64 - 1)
 
@@ -369,7 +371,7 @@ class WordIds:
         """The parts that stand at these places; learn gives sizes and ids of the unknown ones."""
         keys, at, inverse = np.unique(w.hash_of(start, end), return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, keys)
-        new = np.flatnonzero(np.append(self.keys, np.uint64(0))[place] != keys)
+        new = np.flatnonzero((place == len(self.keys)) | (np.append(self.keys, np.uint64(0))[place] != keys))
         if len(new):
             before = len(self.size)
             self._add(*(np.asarray(x, kind) for x, kind in zip(learn([data[a:b] for a, b in zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)]), (np.int64, np.uint32), strict=True)))
@@ -379,7 +381,7 @@ class WordIds:
         return self.of[place][inverse]
 
     def learn(self, w: Words, new: np.ndarray) -> None:
-        """Of words number new of a chunk, none of them known and no two alike."""
+        """Of words number new of a chunk, in order of their hashes, none of them known and no two alike."""
         start, end = w.start[new], w.end[new]
         here = np.arange(1, len(w.bytes) + 1, dtype=np.int32)
         here[_PUNCTUATION[w.bytes]] = 0
@@ -400,20 +402,24 @@ class WordIds:
         plain[at[core]] = True
         at = np.flatnonzero(plain & (last < end))
         second[at] = self._part(w, last[at], end[at], single, data)
-        hashes = np.append(self.hash, w.hash[new])
-        order = np.argsort(hashes, kind="stable")
-        self.hash, self.first, self.second = hashes[order], np.append(self.first, first)[order], np.append(self.second, second)[order]
+        place = np.searchsorted(self.hash, w.hash[new])
+        self.hash, self.first, self.second = (np.insert(old, place, more) for old, more in ((self.hash, w.hash[new]), (self.first, first), (self.second, second)))
 
     def encode(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sizes): the ids of the texts of a chunk (see words_of) one after another, and how many each text has."""
-        hashes, at, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
+        inverse, hashes = pd.factorize(w.hash)  # by a hash table, so in no order
+        at = np.empty(len(hashes), np.int64)
+        at[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
+        order = np.argsort(hashes)
         if len(self.hash) + len(hashes) > REMEMBERED:
             self.forget()
-        found = np.minimum(np.searchsorted(self.hash, hashes), max(len(self.hash) - 1, 0))
-        new = np.flatnonzero(self.hash[found] != hashes) if len(self.hash) else np.arange(len(hashes))
+        known = np.empty(len(hashes), np.int64)
+        known[order] = np.searchsorted(self.hash, hashes[order])
+        place = known[order]
+        new = order[(place == len(self.hash)) | (np.append(self.hash, np.uint64(0))[place] != hashes[order])]
         if len(new):
             self.learn(w, at[new])
-        known = np.searchsorted(self.hash, hashes)
+            known[order] = np.searchsorted(self.hash, hashes[order])
         first, second = self.first[known], self.second[known]
         if second.any():
             part = np.stack([first, second], axis=1)[inverse].reshape(-1)
@@ -429,6 +435,21 @@ class WordIds:
         return self.ids[gather], np.diff(before)
 
 
+def remembered(path: str) -> WordIds:
+    """The word memory of this worker process, which later tasks find again.
+
+    It hangs on the tokenizers module: functions of this library travel by value, so its own
+    modules' variables begin anew in each task. What it holds depends on the vocabulary alone.
+    """
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_remembered_words", {})
+    if path not in held:
+        held.clear()
+        held[path] = WordIds(path)
+    return held[path]
+
+
 def words_of(texts: pa.Array) -> Words:
     """The words of a chunk, with A-Z as a-z but where a text may hold a special token, which is told from its look-alikes."""
     found = pc.any(pc.match_substring(texts, "<|")).as_py()
@@ -437,7 +458,7 @@ def words_of(texts: pa.Array) -> Words:
 
 def _writer(path: str, end_id: int):
     def run(batches):
-        words = WordIds(path)
+        words = remembered(path)
         shard, segment = TaskContext.get().partitionId(), 0
         docs, sizes, parts, held = [], [], [], 0
 
