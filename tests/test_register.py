@@ -320,3 +320,19 @@ def test_prefixes_match_the_pattern(spark):
 
 def test_every_sql_twin_has_a_query():
     assert set(registry.oracle_sql()) <= set(registry.queries()) and len(registry.queries()) >= 35
+
+
+def test_answers_are_read_alike_by_both_decoders(spark):
+    rng, pieces = random.Random(7), ['{"items": [', '{"id": "a1"', '{"id": " B4 "', ', "lines": [3, 1]', ', "lines": ["2", 90]', ', "lines": [1.5, 2]', ', "lines": [null, 2]', ', "text": "x }{ y"', ', "text": " say \\"so\\"\n"', ', "text": 12.50', ', "verdict": "dropped"', ', "tables": [{"title": "t", "headers": ["a"], "rows": [["1"], [1, 2], 3]}]', "}", "},", "]", "]}", "]} z }", "{}", ", ", '"', "text "]
+    raws = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    raws += ["".join(['{"items": [', rng.choice(pieces[1:3]), *rng.sample(pieces[3:12], 3), rng.choice(["}", "},"]), rng.choice(["]}", "]} z }", "]", ""])]) for _ in range(400)] + [None, "", "[1]"]
+    d = spark.createDataFrame([(k, r, ["A1", "B4"], 9) for k, r in enumerate(raws)], "k long, response string, allowed array<string>, n_lines int")
+    for need in (True, False):
+        got = {(r["k"], r["ordinal"]): (r["id"], r["line_from"], r["line_to"], r["text"], [t.asDict() for t in r["tables"]], r["dropped_rows"], r["verdict"]) for r in items.parse_items(d, need_text=need).collect()}
+        want = {(k, i["ordinal"]): (i["id"], i["line_from"], i["line_to"], i["text"], i["tables"], i["dropped_rows"], i["verdict"]) for k, r in enumerate(raws) for i in items.parse(r, {"A1", "B4"}, 9, need)}
+        assert got == want and len(want) > 100
+
+
+def test_salvage_reads_nested_and_repaired_objects():
+    assert items.salvage('{"items": [{"id": 1, "in": {"id": 2}}, {"note": {"id": 3,},') == [{"id": 2}, {"id": 1, "in": {"id": 2}}, {"id": 3}]
+    assert items.salvage("no { object } here") == [] and items.salvage('[{"x": 1}]') == []
