@@ -1,13 +1,15 @@
 """Personal data by bootstrapped contextual extraction (operator 4).
 
 Base identifiers (email, ip, card, phone) are found by fixed patterns. They seed a
-bootstrap over lexical contexts: a pattern is the word or two before an identifier, or
-the word before and the one after it, with the shape of the identifier; an instance is any
-digit- or @-bearing token. Spark scores the pattern-instance graph in turns: a pattern is
-as good as the share of its instances believed to be of a kind, an instance as good as its
-patterns together. Confident patterns with enough seeds mark identifiers that the base
-patterns miss (broken check digits, missing prefixes). Every occurrence is kept; nothing
-is bounded but the texts themselves.
+bootstrap over lexical patterns: the word or two before an identifier, or the word before
+and the one after it, with its coarse shape, the word or two before with the @ or else
+the last character's class, or its shape with the lengths of its runs of digits alone. An instance is any digit- or @-bearing token, or several tokens of digits
+and marks in a row. Spark scores the pattern-instance graph in turns: a pattern is as good
+as the share of its instances known to be of a kind, an instance as good as its confident
+patterns together. An instance that is good enough is known from then on and supports
+patterns as a seed does, until a turn adds none. Confident patterns mark identifiers that
+the base patterns miss (broken check digits, missing prefixes). Every occurrence is kept;
+nothing is bounded but the texts themselves.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import chunks, cut, table
 
 KINDS = ("email", "ip", "card", "phone")
-#: Turns of the bootstrap, least pattern score, least distinct seeds of a pattern, and the weight of doubt.
-TURNS, CONFIDENT, SEEDS, DOUBT = 3, 0.6, 3, 1.0
+#: Least score of a pattern, least instances known of it, weight of doubt, and least belief in an instance that is then known.
+CONFIDENT, SEEDS, DOUBT, KNOWN = 0.6, 3, 1.0, 0.75
 
 # The base patterns of the contract. A match can only begin where a run of
 # digits begins, so the look-behind and possessive runs leave the results as they are.
@@ -35,6 +37,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\s]+")
 _RUNS = ((re.compile(r"[0-9]+"), "9"), (re.compile(r"[^\W\d_]+"), "a"))
+_NUMERIC = re.compile(r"[0-9()+.-]*[0-9][0-9()+.-]*")
 
 _SPAN = "struct<start:long,kind:int,end:long>"
 _CASE = "struct<start:long,end:long,kind:int,value:string,patterns:array<string>>"
@@ -96,6 +99,11 @@ def _shape(value):
     return _key(value)
 
 
+def _lengths(value):
+    """The shape with the length of each run of digits."""
+    return _key(_RUNS[1][0].sub("a", _RUNS[0][0].sub(lambda m: f"{{{len(m[0])}}}", value)))
+
+
 def _word(w):
     return _key(_RUNS[0][0].sub("9", w.lower()))
 
@@ -117,11 +125,15 @@ def cases(text: str, spans) -> list[dict]:
             if not units or units[-1][3] != k:
                 units.append((joined[k][0], joined[k][1], joined[k][2], k))
         else:
+            whole = _NUMERIC.fullmatch(text, a, b)
             while a < b and text[b - 1] in ".,;:!?)]}\"'":
                 b -= 1
+            if whole and units and units[-1][3] == -2 and text[units[-1][1] : a] in (" ", ") "):
+                units[-1] = (units[-1][0], b, -1, -2)  # one more group of digits
+                continue
             while a < b and text[a] in "([{\"'":
                 a += 1
-            units.append((a, b, -1, -1))
+            units.append((a, b, -1, -2 if whole else -1))
     out = []
     for j, (a, b, kind, _) in enumerate(units):
         value = text[a:b]
@@ -129,8 +141,8 @@ def cases(text: str, spans) -> list[dict]:
             continue
         left = [_word(text[units[i][0] : units[i][1]]) if i >= 0 else "^" for i in (j - 2, j - 1)]
         right = _word(text[units[j + 1][0] : units[j + 1][1]]) if j + 1 < len(units) else "$"
-        s = _shape(value)
-        out.append({"start": a, "end": b, "kind": kind, "value": _key(value, 200), "patterns": [f"l1 {left[1]} {s}", f"l2 {left[0]} {left[1]} {s}", f"lr {left[1]} {right} {s}"]})
+        s, kind_of = _shape(value), "@" if "@" in value else _shape(value[-1])
+        out.append({"start": a, "end": b, "kind": kind, "value": _key(value, 200), "patterns": [f"l1 {left[1]} {s}", f"l2 {left[0]} {left[1]} {s}", f"lr {left[1]} {right} {s}", f"s {_lengths(value)}", f"c1 {left[1]} {kind_of}", f"c2 {left[0]} {left[1]} {kind_of}"]})
     return out
 
 
@@ -150,20 +162,28 @@ def _scan(batches):
         yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("spans", pa.list_(span)), ("cases", pa.list_(case))]))
 
 
-def bootstrap(edges: DataFrame, turns: int = TURNS) -> DataFrame:
-    """(pattern, kind, score, seeds) over edges (pattern, value, kind; -1: unknown), all patterns with a seed."""
+def bootstrap(edges: DataFrame, confident: float = CONFIDENT, least_seeds: int = SEEDS) -> DataFrame:
+    """(pattern, kind, score, seeds, support) over edges (pattern, value, kind; -1: unknown), all patterns with a known value.
+
+    seeds counts the values that the base patterns know, support those known in the end.
+    """
     edges = cut(edges.distinct(), "edges")
-    sizes = edges.groupBy("pattern").agg(F.count_distinct("value").alias("n"))
-    belief = edges.where("kind >= 0").select("value", "kind").distinct().withColumn("belief", F.lit(1.0))
-    seeded = edges.where("kind >= 0").groupBy("pattern", "kind").agg(F.count_distinct("value").alias("seeds"))
-    plain = cut(edges.select("pattern", "value").distinct().join(seeded.select("pattern").distinct(), "pattern"), "plain")
-    seeds = belief
-    for _ in range(turns):
-        score = plain.join(belief, "value").groupBy("pattern", "kind").agg(F.sum("belief").alias("sum")).join(sizes, "pattern")
-        score = cut(score.select("pattern", "kind", (F.col("sum") / (F.col("n") + DOUBT)).alias("score")), "scores")
-        grown = plain.join(score, "pattern").groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))).alias("belief"))
-        belief = grown.join(seeds.select("value", "kind"), ["value", "kind"], "left_anti").union(seeds)
-    return score.join(seeded, ["pattern", "kind"])
+    plain = edges.select("pattern", "value").distinct()
+    sizes = plain.groupBy("pattern").agg(F.count("*").alias("n"))
+    plain = cut(plain, "plain")
+    known = base = cut(edges.where("kind >= 0").select("value", "kind").distinct(), "known")
+    while True:
+        score = plain.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("support")).join(sizes, "pattern")
+        score = cut(score.select("pattern", "kind", "support", (F.col("support") / (F.col("n") + DOUBT)).alias("score")), "scores")
+        good = score.where((F.col("score") >= confident) & (F.col("support") >= least_seeds))
+        belief = plain.join(good, "pattern").groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("score"))))).alias("belief"))
+        best = belief.groupBy("value").agg(F.max_by("kind", F.struct("belief", -F.col("kind"))).alias("kind"), F.max("belief").alias("belief"))
+        new = cut(best.where(F.col("belief") >= KNOWN).join(known.select("value"), "value", "left_anti").select("value", "kind"), "known")
+        if new.isEmpty():
+            break
+        known = cut(known.union(new), "known")
+    seeds = plain.join(base, "value").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
+    return score.join(seeds, ["pattern", "kind"], "left").select("pattern", "kind", "score", F.coalesce("seeds", F.lit(0)).cast("long").alias("seeds"), "support")
 
 
 def personal_data(docs: DataFrame, confident: float = CONFIDENT, least_seeds: int = SEEDS) -> DataFrame:
@@ -176,7 +196,7 @@ def personal_data(docs: DataFrame, confident: float = CONFIDENT, least_seeds: in
     found = cut(docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(_scan, SCHEMA), "spans")
     case = found.where(F.size("cases") > 0).select("row", F.explode("cases").alias("c"))
     case = case.select("row", "c.start", "c.end", "c.kind", "c.value", F.explode("c.patterns").alias("pattern"))
-    good = bootstrap(case.select("pattern", "value", "kind")).where((F.col("score") >= confident) & (F.col("seeds") >= least_seeds))
+    good = bootstrap(case.select("pattern", "value", "kind"), confident, least_seeds).where((F.col("score") >= confident) & (F.col("support") >= least_seeds))
     new = case.where("kind < 0").select("row", "start", "end", "pattern").join(good.select("pattern", F.col("kind").alias("as_kind"), "score"), "pattern")
     new = new.groupBy("row", "start", "end").agg(F.max_by("as_kind", F.struct("score", -F.col("as_kind"))).alias("kind"))
     new = new.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))

@@ -224,6 +224,62 @@ def test_bootstrap_scores_shared_contexts(spark):
     assert got["p", 1]["score"] > 0.8 and got["p", 1]["seeds"] == 8 and ("r", 1) not in got
 
 
+def test_bootstrap_equals_a_plain_one(spark):
+    rng = random.Random(17)
+    edges = {(f"p{p}", f"v{(v - v % 2 + p % 2) if rng.random() < 0.9 else v}") for p, v in ((rng.randrange(30), min(rng.randrange(90), rng.randrange(90))) for _ in range(330))}
+    kinds = {f"v{k}": k % 2 for k in range(36)}
+    rows = [(p, v, kinds.get(v, -1)) for p, v in sorted(edges)]
+    rows += rows[:3]
+    known, turns = dict(kinds), 0
+    of = collections.defaultdict(set)
+    for p, v in edges:
+        of[p].add(v)
+    while True:
+        score = {(p, k): (sum(known.get(v) == k for v in vs) / (len(vs) + pii.DOUBT), sum(known.get(v) == k for v in vs)) for p, vs in of.items() for k in (0, 1)}
+        new = {}
+        for v in {v for _, v in edges} - set(known):
+            belief = {k: 1 - np.prod([1 - score[p, k][0] for p in of if v in of[p] and score[p, k][0] >= 0.4 and score[p, k][1] >= 3]) for k in (0, 1)}
+            k = max(belief, key=lambda k: (belief[k], -k))
+            if belief[k] >= pii.KNOWN:
+                new[v] = k
+        if not new:
+            break
+        known |= new
+        turns += 1
+    got = {(r["pattern"], r["kind"]): (round(r["score"], 9), r["support"], r["seeds"]) for r in pii.bootstrap(spark.createDataFrame(rows, "pattern string, value string, kind int"), 0.4, 3).collect()}
+    assert turns >= 2 and got == {(p, k): (round(s, 9), n, sum(kinds.get(v) == k for v in of[p])) for (p, k), (s, n) in score.items() if n}
+
+
+def test_pii_finds_broken_identifiers_where_contexts_tell(spark):
+    rng = random.Random(41)
+
+    def card(good):
+        d = "4" + "".join(str(rng.randrange(10)) for _ in range(14))
+        last = next(c for c in "0123456789" if pii.luhn(d + c) == good)
+        return d + last
+
+    makers = {
+        "email": (["mail to", "write", "contact"], lambda: f"u{rng.randrange(10**6)}@m{rng.randrange(99)}.org", lambda: f"u{rng.randrange(10**6)}@m{rng.randrange(99)}"),
+        "card": (["card number", "visa", "charged"], lambda: card(True), lambda: card(False)),
+        "phone": (["call", "phone no.", "ring"], lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", lambda: f"1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"),
+        "ip": (["host", "address", "ping"], lambda: ".".join(str(rng.randrange(1, 255)) for _ in range(4)), lambda: f"{rng.randrange(300, 999)}.{rng.randrange(255)}.{rng.randrange(255)}.{rng.randrange(255)}"),
+    }
+    rows, planted = [], []
+    for k in range(600):
+        kind = rng.choice(sorted(makers))
+        marks, whole, broken = makers[kind]
+        bad = k % 6 == 0
+        value = broken() if bad else whole()
+        before = " ".join([*words(rng, 6), rng.choice(marks)]) + " "
+        rows.append((k, before + value + " " + " ".join(words(rng, 5))))
+        if bad:
+            planted.append((k, f"{kind}:{len(before)}:{len(before) + len(value)}"))
+    rows += [(1000 + k, " ".join([*words(rng, 5), rng.choice(["year", "room", "version"]), str(rng.choice([rng.randrange(10**4), rng.randrange(10**16)])), *words(rng, 5)])) for k in range(200)]
+    got = {r["doc_id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hits = sum(span in got[k]["spans"].split(",") for k, span in planted)
+    assert hits >= 0.9 * len(planted) and not any(got[1000 + k]["n_found"] for k in range(200))
+
+
 def test_decontamination_catches_other_figures_and_leaves_clean_text(spark):
     item = "A train leaves Delhi at 60 km per hour and another train leaves after 5 hours at 90 km per hour in the same direction today"
     same = item.replace("60", "75").replace("90", "110").replace("5 ", "7 ")
