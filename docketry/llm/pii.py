@@ -2,10 +2,10 @@
 
 Base identifiers (email, ip, card, phone) are found by fixed patterns. They seed a
 bootstrap over lexical patterns: the word or two before an identifier, or the word before
-and the one after it, with its coarse shape, the word or two before with the @ or else
-the last character's class, or its shape with the lengths of its runs of digits alone. An instance is any digit- or @-bearing token, or several tokens of digits
-and marks in a row. Spark scores the pattern-instance graph in turns: a pattern is as good
-as the share of its instances known to be of a kind, an instance as good as its confident
+and the one after it, each with its coarse shape, and the word or two before with the @ or
+else the class of its last character. An instance is any digit- or @-bearing token, or
+several tokens of digits and marks in a row. Spark scores the pattern-instance graph in
+turns: a pattern is as good as the share of its instances known to be of a kind, an instance as good as its confident
 patterns together. An instance that is good enough is known from then on and supports
 patterns as a seed does, until a turn adds none. Confident patterns mark identifiers that
 the base patterns miss (broken check digits, missing prefixes). Every occurrence is kept;
@@ -99,11 +99,6 @@ def _shape(value):
     return _key(value)
 
 
-def _lengths(value):
-    """The shape with the length of each run of digits."""
-    return _key(_RUNS[1][0].sub("a", _RUNS[0][0].sub(lambda m: f"{{{len(m[0])}}}", value)))
-
-
 def _word(w):
     return _key(_RUNS[0][0].sub("9", w.lower()))
 
@@ -142,7 +137,7 @@ def cases(text: str, spans) -> list[dict]:
         left = [_word(text[units[i][0] : units[i][1]]) if i >= 0 else "^" for i in (j - 2, j - 1)]
         right = _word(text[units[j + 1][0] : units[j + 1][1]]) if j + 1 < len(units) else "$"
         s, kind_of = _shape(value), "@" if "@" in value else _shape(value[-1])
-        out.append({"start": a, "end": b, "kind": kind, "value": _key(value, 200), "patterns": [f"l1 {left[1]} {s}", f"l2 {left[0]} {left[1]} {s}", f"lr {left[1]} {right} {s}", f"s {_lengths(value)}", f"c1 {left[1]} {kind_of}", f"c2 {left[0]} {left[1]} {kind_of}"]})
+        out.append({"start": a, "end": b, "kind": kind, "value": _key(value, 200), "patterns": [f"l1 {left[1]} {s}", f"l2 {left[0]} {left[1]} {s}", f"lr {left[1]} {right} {s}", f"c1 {left[1]} {kind_of}", f"c2 {left[0]} {left[1]} {kind_of}"]})
     return out
 
 
