@@ -8,11 +8,12 @@ every window. Pivots are therefore chosen where distances are below 1:
    y. Of the lower half of x's shingles by hash, at least an eighth plus of |x| must
    then occur in the lower half of another document's. Documents that fail this are
    alone. Hashes travel packed (8 bytes each) to hash-range buckets and are sorted there.
-2. *Pivots and regions.* Among the others, each shingle of the lower half elects the
-   smallest member as pivot; the region of a pivot holds all documents that share a
-   shingle with it there: its Voronoi cell and every document near the border, which is
-   so replicated into the regions of all pivots it overlaps. By the prefix bound, two
-   linked documents always meet in a region.
+2. *Pivots and regions.* Two linked documents share a shingle among the rarest quarter (and
+   one) of either's. Each shingle elects the smallest member that has it as pivot; the
+   region of a pivot holds all documents that share one of their rarest shingles with it:
+   its Voronoi cell and every document near the border, which is so replicated into the
+   regions of all pivots it overlaps. Text that very many documents share is rare for none
+   of them, unless little else is in them, so it makes no region.
 3. *Recursive exact join.* Inside a region one member after another becomes pivot. It
    is compared exactly, but only to members that another component holds and that the
    triangle inequality on the distances to earlier pivots leaves within 0.25.
@@ -158,12 +159,9 @@ def sized(docs: DataFrame) -> DataFrame:
 def _sets(batches):
     for part in chunks(batches):
         sets = list(Words(part.column(1)).shingle_sets())
-        low = [s[: len(s) // 2 + 1] for s in sets]
-        arrays = [part.column(0), pa.array([len(s) for s in sets], pa.int64())]
-        for x in (low, sets):
-            off = np.concatenate([[0], np.cumsum([len(s) for s in x])]).astype(np.int32)
-            arrays.append(pa.ListArray.from_arrays(pa.array(off), pa.array(signed(np.concatenate(x)) if off[-1] else np.zeros(0, np.int64))))
-        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "low", "set"])
+        off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        flat = pa.array(signed(np.concatenate(sets)) if off[-1] else np.zeros(0, np.int64))
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(off).astype(np.int64)), pa.ListArray.from_arrays(pa.array(off), flat)], ["id", "n", "set"])
 
 
 def local_links(ids, sets, comp=None, pivots=None, first=None):
@@ -239,14 +237,14 @@ def _grid(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """(a, b): links between the sets of (id, n, low, set), enough to connect all that linked pairs connect."""
-    low = sets.select("id", F.explode("low").alias("h"))
-    pivot = low.groupBy("h").agg(F.min("id").alias("region"), F.max("id").alias("top")).where("region < top").drop("top")
-    member = low.join(pivot, "h").groupBy("region", "id").agg(F.count("*").alias("shared")).join(sets.select("id", "n"), "id")
-    # Linked documents share at least 3/16 of either's shingles here. What each drops of its
-    # smallest regions is less than half of that, so a region is left where they meet.
-    upto = F.sum("shared").over(Window.partitionBy("id").orderBy("shared", "region"))
-    member = member.withColumn("upto", upto).where(2 * F.col("upto") >= F.ceil(0.1875 * F.col("n") + 0.5)).select("region", "id", "n")
+    """(a, b): links between the sets of (id, n, set), enough to connect all that linked pairs connect."""
+    each = sets.select("id", "n", F.explode("set").alias("h"))
+    shared = each.join(each.groupBy("h").agg(F.min("id").alias("region"), F.count("*").alias("holders")).where("holders > 1"), "h")
+    # Linked sets share ceil(3/4 n) of either's n shingles, so of the other n - ceil(3/4 n) and one more, in any
+    # order common to all, at least one. The rarest come first; those that no other has are not even rows here.
+    own = Window.partitionBy("id")
+    rank = F.row_number().over(own.orderBy("holders", "h")) + F.col("n") - F.count("*").over(own)
+    member = shared.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(0.75 * F.col("n")) + 1).select("region", "id", "n").distinct()
     member = cut(member, "regions")
     size = member.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
     size = cut(size.where("members > 1").select("region", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int").alias("blocks"), "weight"), "sizes")
@@ -319,17 +317,19 @@ def link_counts(sets: DataFrame, comp: DataFrame, copies: DataFrame) -> DataFram
 def jaccard_components(docs: DataFrame, count: bool = False) -> DataFrame:
     """One row per row of docs (doc_id, text, ...): doc_id, n_shingles, component_id, n_copies and, with count, n_links.
 
-    n_links is the number of other rows that a row links with, those of equal sets among them. Null and wordless texts have an empty set and link with nothing; equal sets are one
-    class and link with each other. Rows without a doc_id are left out; repeated doc_ids
-    give a row each. An empty table gives no rows. Columns other than doc_id and text are
-    not read.
+    n_links is the number of other rows that a row links with, those of equal sets among
+    them. Null and wordless texts have an empty set and link with nothing; equal sets are
+    one class and link with each other. Rows without a doc_id are left out; repeated
+    doc_ids give a row each, and of several texts under one doc_id that stand for a class
+    the lowest is compared. An empty table gives no rows. Columns other than doc_id and
+    text are not read.
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     all_ = cut(sized(docs), "sized")
     classes = all_.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.max("near").alias("near"))
     classes = cut(classes, "classes")
     near = classes.where("near").select(F.col("rep").alias("doc_id"))
-    sets = docs.join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, n long, low array<long>, set array<long>")
+    sets = docs.join(near, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(_sets, "id long, n long, set array<long>")
     sets = cut(sets, "sets")
     comp = components(links(sets))
     own = []

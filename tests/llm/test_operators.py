@@ -514,3 +514,12 @@ def test_pipeline_equals_its_parts_by_hand(spark, tmp_path):
     drawn = {r["doc_id"] for r in mixing.mixture(spark.createDataFrame(left, "doc_id long, text string, lang string, source string, n_chars long")).collect() if r["sampled"]}
     assert set(got) == drawn and sorted(r["start"] for r in got.values())[0] == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "jaccard_join", "decontamination", "mixing", "token_ids"]
+
+
+def test_jaccard_join_leaves_boilerplate_out_of_its_regions(spark):
+    rng = random.Random(33)
+    block = words(rng, 60, 10**6)
+    rows = [(k, " ".join(block + words(rng, 60, 10**7))) for k in range(300)] + [(400, " ".join(block)), (401, " ".join(block[:-2]))]
+    sets = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(jaccard_join._sets, "id long, n long, set array<long>")
+    assert [tuple(r) for r in jaccard_join.links(sets).collect()] == [(400, 401)]
+    assert {r["component_id"] for r in jaccard_join.jaccard_components(spark.createDataFrame([*rows, (400, "x")], "doc_id long, text string")).where("doc_id >= 400 and n_shingles > 1").collect()} == {400}
