@@ -20,28 +20,36 @@ BROADCAST_WINDOWS = 500_000
 # The units that become a placeholder.
 UNITS = "km|cm|mm|kg|mg|ml|kb|mb|gb|tb|km/h|mph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|liters?|litres?|percent|dollars?|euros?|usd|eur|%|€|\\$"
 # _NAME is the SQL twin's pattern of single names; here a run of them is first tied into one word.
-_TIE, _TIED = "((?:^|[\\s(\"\\[])\\p{Lu}[\\p{L}'-]*|\\G\\p{Lu}[\\p{L}'-]*)\\s+(?=\\p{Lu})", "(^|[\\s(\"\\[])\\p{Lu}[\\p{L}'-]*(?:\\x1f\\p{Lu}[\\p{L}'-]*)*"
+# A capital is looked for first, then what stands before it, as most characters are none.
+_TIE, _TIED = "(\\p{Lu}(?<![^\\s(\"\\[]\\p{Lu})[\\p{L}'-]*)\\s+(?=\\p{Lu})", "\\p{Lu}(?<![^\\s(\"\\[]\\p{Lu})[\\p{L}'-]*(?:\\x1f\\p{Lu}[\\p{L}'-]*)*"
 _NAME, _NUMBER, _UNIT = "([\\p{Ll}0-9,;] )\\p{Lu}[\\p{L}'-]*", "(^|[^\\p{L}0-9§])[0-9]+([.,:/][0-9]+)*", f"(§num ?)({UNITS})([^\\p{{L}}]|$)"
+#: Here the longest unit that fits counts (km/h before km); the twin tries them in the order above.
+_LONGEST = _UNIT.replace(UNITS, "|".join(sorted(UNITS.split("|"), key=lambda u: -len(u))))
 _TAIL, _HEAD = '[.,;:!?()"\\[\\]]+(\\s|$)', '(^|\\s)[("\\[]+'
 
 
 def templates(text: F.Column) -> tuple[F.Column, F.Column]:
     """(template words, plain words): two arrays with a template word for each plain word."""
     text = F.coalesce(text, F.lit(""))
+    figures, openings = text.rlike("[0-9]"), text.rlike('[("\\[]')  # most texts have neither, and passes over them are saved
 
     def words(t):
-        t = F.regexp_replace(F.regexp_replace(t, _TAIL, "$1"), _HEAD, "$1")
+        t = F.regexp_replace(t, _TAIL, "$1")
+        t = F.when(openings, F.regexp_replace(t, _HEAD, "$1")).otherwise(t)
         return F.filter(F.split(F.lower(t), r"\s+"), lambda w: w != "")
 
-    text = F.regexp_replace(text, _TIE, "$1\x1f")
-    marked = F.regexp_replace(F.regexp_replace(text, _TIED, "$1§name"), _NUMBER, "$1§num")
-    return words(F.regexp_replace(marked, _UNIT, "$1§unit$3")), words(text)
+    tied = F.regexp_replace(text, _TIE, "$1\x1f")
+    named = F.regexp_replace(tied, _TIED, "§name")
+    marked = F.when(figures, F.regexp_replace(F.regexp_replace(named, _NUMBER, "$1§num"), _LONGEST, "$1§unit$3")).otherwise(named)
+    return words(marked), words(tied)
 
 
 def windows(frame: DataFrame, key: str, n: int = WINDOW) -> DataFrame:
     """(key, pos, h, plain): the template windows of (key, text); a shorter text is one window."""
     t, w = templates(F.col("text"))
-    frame = frame.select(key, t.alias("t"), w.alias("w")).where(F.size("t") > 0)
+    # not deterministic to the optimizer, so that no filter on t is pushed below and takes the template twice
+    once = F.when(F.spark_partition_id() >= 0, F.struct(t.alias("t"), w.alias("w")))
+    frame = frame.select(key, once.alias("x")).select(key, "x.t", "x.w").where(F.size("t") > 0)
     frame = frame.select(key, "t", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("t") - n, F.lit(0)))).alias("pos"))
     part = [F.get("t", F.col("pos") + k) for k in range(n)]
     return frame.select(key, "pos", F.xxhash64(*part).alias("h"), F.slice("w", F.col("pos") + 1, n).alias("plain"), F.slice("t", F.col("pos") + 1, n).alias("marks"))

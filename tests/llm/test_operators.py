@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docketry.llm import common, decontaminate, embedding_dedup, jaccard_join, mixing, pii, substring_dedup, token_codec, token_counts, toxicity, url_filter
 
@@ -523,3 +524,13 @@ def test_jaccard_join_leaves_boilerplate_out_of_its_regions(spark):
     sets = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(jaccard_join._sets, "id long, n long, set array<long>")
     assert [tuple(r) for r in jaccard_join.links(sets).collect()] == [(400, 401)]
     assert {r["component_id"] for r in jaccard_join.jaccard_components(spark.createDataFrame([*rows, (400, "x")], "doc_id long, text string")).where("doc_id >= 400 and n_shingles > 1").collect()} == {400}
+
+
+def test_templates_take_the_longest_unit_and_runs_of_names(spark):
+    texts = ["A car does 60 km/h or 35 mph on 5 km of road", "Natalia sold 12 eggs. John Smith (Anna Berg) paid 3.50 euros", 'He said "Mary" 9kg', "", None, "word " * 30_000 + "at 7 km/h"]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").select(*[c.alias(n) for n, c in zip("tw", decontaminate.templates(F.col("text")), strict=True)])
+    got = [(r["t"], r["w"]) for r in d.collect()]
+    assert got[0][0] == "§name car does §num §unit or §num §unit on §num §unit of road".split()
+    assert got[1][0] == "§name sold §num eggs §name §name paid §num §unit".split() and got[1][1][0] == "natalia"
+    assert got[2][0] == "§name said §name §num§unit".split() and got[3] == got[4] == ([], []) and got[5][0][-2:] == ["§num", "§unit"] and len(got[5][1]) == 30_003
+    assert all(len(t) == len(w) for t, w in got)
