@@ -47,6 +47,19 @@ def cut(df: DataFrame, what: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named(df: DataFrame) -> list:
+    """The columns of df under their names, whatever signs these hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df does not have in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts: sizes the number of buckets, decides nothing else."""
     return docs.agg(F.sum(F.octet_length(column)).alias("b")).first()["b"] or 0
@@ -197,8 +210,3 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components not stable after {rounds} rounds")
     pairs = e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component")
     return pairs.union(pairs.select(F.col("component").alias("id"), "component").distinct())
-
-
-def unique(df: DataFrame, id_column: str) -> DataFrame:
-    """Rows with an id, under a single name for each column."""
-    return df.where(F.col(id_column).isNotNull())

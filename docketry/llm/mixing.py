@@ -12,13 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, named, table
 
 MARGINALS = ("source", "lang", "topic")
-#: Share of all tokens to draw, power by which default targets flatten the present shares, and turns of raking.
-SHARE, TEMPER, TURNS = 0.5, 0.7, 6
-#: Rounds of three turns for cells that are drawn whole, and the share of all tokens by which a marginal may then be off.
-MOST, CLOSE = 20, 1e-5
+#: Share of all tokens to draw, and power by which default targets flatten the present shares.
+SHARE, TEMPER = 0.5, 0.7
+#: Rounds of four turns at most, and the share of all tokens by which a marginal may be off; raking ends
+#: there, or where a round leaves more than NEARER of the rest: then no cells meet all targets at once.
+MOST, CLOSE, NEARER = 20, 1e-5, 0.95
 # The marks by which a text has its topic, first match wins.
 TOPICS = (("table", " | "), ("secret", 'token = "'), ("license", "icens"))
 
@@ -30,19 +31,30 @@ def topic_of(text: F.Column) -> F.Column:
     return out
 
 
-def weighed(docs: DataFrame, *more) -> DataFrame:
-    """(doc_id, source, lang, topic, n_tokens): words of the whole text; null marks count as ''."""
+def weighed(docs: DataFrame, *more, topic: F.Column | None = None) -> DataFrame:
+    """(doc_id, source, lang, topic, n_tokens): words of the whole text; null marks count as ''.
+
+    topic: a column of docs, such as a classifier's; without, the topic is told by marks in the text.
+    """
     return docs.where("doc_id is not null").select(
-        "doc_id", *[F.coalesce(F.col(m), F.lit("")).alias(m) for m in MARGINALS[:2]], topic_of(F.coalesce("text", F.lit(""))).alias("topic"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^ \t\n\r]+")).cast("long").alias("n_tokens"),
+        "doc_id", *[F.coalesce(F.col(m), F.lit("")).alias(m) for m in MARGINALS[:2]], (topic_of(F.coalesce("text", F.lit(""))) if topic is None else F.coalesce(topic, F.lit(""))).alias("topic"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^ \t\n\r]+")).cast("long").alias("n_tokens"),
         *more,
     )
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, turns: int = TURNS) -> DataFrame:
+def _off(frame: DataFrame, now: str, want: str) -> float:
+    """By what share of all tokens a marginal of a column is off the wanted one at most."""
+    sums = frame.select("tokens", *[(F.sum(now).over(Window.partitionBy(m)) - F.col(f"{want}{m}")).alias(m) for m in MARGINALS])
+    off = F.greatest(*[F.max(F.abs(m)) for m in MARGINALS])
+    return sums.agg(F.coalesce(off / F.nullif(F.sum("tokens"), F.lit(0)), F.lit(0.0)).alias("off")).first()["off"]
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, turns: int | None = None) -> DataFrame:
     """cells (source, lang, topic, tokens) with x, the fitted tokens.
 
     targets: of a marginal, the wanted weight of each value (others 0); without, the present
-    tokens to the power TEMPER. One row per cell, so the frame stays as small as the marks.
+    tokens to the power TEMPER. Turns go on until all marginals are met, or as many as said.
+    Targets that cells cannot meet at once end with the last marginal met. One row per cell, so the frame stays as small as the marks.
     """
     frame = cells.withColumn("x", F.col("tokens").cast("double"))
     every = Window.partitionBy()
@@ -53,13 +65,19 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
             want = F.pow(F.sum("tokens").over(Window.partitionBy(m)).cast("double"), F.lit(TEMPER))
         frame = frame.withColumn(f"t_{m}", want).withColumn("n", F.count("*").over(Window.partitionBy(m)))
         frame = frame.withColumn(f"t_{m}", F.coalesce(F.col(f"t_{m}") / F.nullif(F.sum(F.col(f"t_{m}") / F.col("n")).over(every), F.lit(0.0)), F.lit(0.0))).drop("n")
-    frame = cut(frame, "cells")
-    for turn in range(turns):
+        frame = frame.withColumn(f"a_{m}", F.col(f"t_{m}") * F.sum("tokens").over(every))
+    frame, off = cut(frame, "cells"), float("inf")
+    for turn in range(turns or 4 * MOST):
         for m in MARGINALS:
             now = F.sum("x").over(Window.partitionBy(m))
-            frame = frame.withColumn("x", F.when(now > 0, F.col("x") * F.col(f"t_{m}") / now).otherwise(F.lit(0.0)))
-        if turn % 3 == 2:
+            frame = frame.withColumn("x", F.when(now > 0, F.col("x") * F.col(f"a_{m}") / now).otherwise(F.lit(0.0)))
+        if turn % 4 == 3:
             frame = cut(frame, "cells")
+            if turns is None:
+                last, off = off, _off(frame, "x", "a_")
+                if off <= CLOSE or off > NEARER * last:
+                    break
+    frame = frame.drop(*[f"a_{m}" for m in MARGINALS])
     return frame.withColumn("x", F.coalesce(F.col("x") / F.nullif(F.sum("x").over(every), F.lit(0.0)) * F.sum("tokens").over(every), F.lit(0.0)))
 
 
@@ -78,15 +96,15 @@ def drawn(cells: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
         return frame.select(*MARGINALS, "tokens", "y")
     for m in MARGINALS:
         frame = _feasible(frame, m, share)
+    off = float("inf")
     for _ in range(MOST):  # x is the product of all factors, y what of it can be drawn
-        for _ in range(3):
+        for _ in range(4):
             for m in MARGINALS:
                 now = F.sum("y").over(Window.partitionBy(m))
                 frame = frame.withColumn("x", F.when(now > 0, F.least(F.col("x") * F.col(f"w_{m}") / now, F.lit(1e200))).otherwise(F.lit(0.0))).withColumn("y", F.least("x", "tokens"))
         frame = cut(frame, "cells")
-        off = [F.max(F.abs(F.col(f"s_{m}") - F.col(f"w_{m}"))) for m in MARGINALS]
-        sums = frame.select("tokens", *[f"w_{m}" for m in MARGINALS], *[F.sum("y").over(Window.partitionBy(m)).alias(f"s_{m}") for m in MARGINALS])
-        if sums.agg((F.greatest(*off) <= CLOSE * F.sum("tokens")).alias("ok")).first()["ok"]:
+        last, off = off, _off(frame, "y", "w_")
+        if off <= CLOSE or off > NEARER * last:
             break
     return frame.select(*MARGINALS, "tokens", "y")
 
@@ -127,20 +145,20 @@ def _rated(rows: DataFrame, targets, share: float) -> DataFrame:
     return out.withColumn("sampled", draw < F.col("exact")).withColumn("rate", F.round("exact", 6)).drop("exact")
 
 
-def mixture(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
+def mixture(docs: DataFrame, targets=None, share: float = SHARE, topic: F.Column | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text, lang, source): n_tokens, rate, sampled and the marks.
 
     The rate is drawn / present tokens of the cell (see drawn). Texts without words
     have no tokens to weigh: a cell of only such texts has the rate 0. Rows without a doc_id
     are left out; rows with the same doc_id are drawn alike. An empty table gives no rows.
     """
-    return _rated(weighed(docs), targets, share).select("doc_id", *MARGINALS, "n_tokens", "rate", "sampled")
+    return _rated(weighed(docs, topic=topic), targets, share).select("doc_id", *MARGINALS, "n_tokens", "rate", "sampled")
 
 
-def sampled_documents(docs: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
+def sampled_documents(docs: DataFrame, targets=None, share: float = SHARE, topic: F.Column | None = None) -> DataFrame:
     """The drawn rows of docs, with the columns of docs."""
-    whole = F.struct(*docs.columns)
-    return _rated(weighed(docs, whole.alias("whole")), targets, share).where("sampled").select("whole.*")
+    whole = F.struct(*named(docs))
+    return _rated(weighed(docs, whole.alias("whole"), topic=topic), targets, share).where("sampled").select("whole.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +168,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     topic = "case " + " ".join(f"when contains(coalesce(text, ''), '{mark}') then '{name}'" for name, mark in TOPICS) + " else 'prose' end"
     steps, at = [], "c0"
-    for k, m in enumerate(m for _ in range(TURNS) for m in MARGINALS):
+    for k, m in enumerate(m for _ in range(6) for m in MARGINALS):
         steps.append(f"r{k} as (select * replace (x * t_{m} / nullif(sum(x) over (partition by {m}), 0) as x) from {at})")
         at = f"r{k}"
     wants = ", ".join(f"pow(sum(tokens) over (partition by {m}), {TEMPER}) as w_{m}, count(*) over (partition by {m}) as n_{m}" for m in MARGINALS)

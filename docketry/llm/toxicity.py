@@ -3,13 +3,15 @@
 Features are presence of hashed words, neighbouring word pairs and pairs with one word
 skipped. Learning keeps per-coordinate rates and an L1 bound, so nearly all weights are
 exactly zero; the rest are small enough to broadcast (at most FEATURES of them). Learning
-runs over a bounded sample of labelled texts in one task, scoring over every whole text.
+runs over a bounded sample of labelled texts in one task (so many texts and bytes at
+most), scoring over every whole text.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +20,10 @@ from .common import Words, chunks, mix, table
 
 BITS = 20
 FEATURES = 1 << BITS
-#: Labelled texts learnt from, at most: those with the lowest hash of doc_id.
-MAX_TRAIN = 20_000
-EPOCHS, ALPHA, BETA, L1, L2 = 8, 2.0, 1.0, 8.0, 0.5
+#: Labelled texts learnt from, at most: those with the lowest hash of doc_id; and bytes of these, in that order.
+MAX_TRAIN, MAX_TRAIN_BYTES = 20_000, 192 << 20
+#: Epochs, rate and L1 have the least log loss on two splits inside the training rows of sf0.1 (remainders 1 and 3).
+EPOCHS, ALPHA, BETA, L1, L2 = 5, 2.0, 1.0, 8.0, 0.5
 BIAS = 0  # the coordinate that every text has
 
 _SEPARATOR = np.zeros(256, dtype=bool)
@@ -63,27 +66,34 @@ def fit(rows: list[tuple[np.ndarray, int]]) -> np.ndarray:
     return weight(np.arange(FEATURES))
 
 
-def _learn(batches):
-    rows = []
-    for part in chunks(batches):
-        own, at = features(part.column(part.schema.get_field_index("text")))
-        order = np.argsort(own, kind="stable")
-        own, at = own[order], at[order]
-        cuts = np.searchsorted(own, np.arange(part.num_rows + 1))
-        for k, (y, rank) in enumerate(zip(part.column(part.schema.get_field_index("toxic")).to_pylist(), part.column(part.schema.get_field_index("rank")).to_pylist(), strict=True)):
-            rows.append((rank, np.concatenate([[BIAS], np.unique(at[cuts[k] : cuts[k + 1]])]), y))
-    if rows:
-        w = fit([(at, y) for _, at, y in sorted(rows, key=lambda r: r[0])])
-        keep = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(keep), pa.array(w[keep])], ["at", "w"])
-
-
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> list[tuple[int, float]]:
+def _learn(most: int):
+    def learn(batches):
+        """Texts come in order of rank; those beyond `most` bytes are not learnt from."""
+        rows, seen = [], 0
+        for part in chunks(batches):
+            size = pc.fill_null(pc.binary_length(part.column(1)), 0).to_numpy()
+            part = part.slice(0, int((seen + np.cumsum(size) <= most).sum()) if seen <= most else 0)
+            seen += int(size.sum())
+            own, at = features(part.column(1))
+            order = np.argsort(own, kind="stable")
+            own, at = own[order], at[order]
+            cuts = np.searchsorted(own, np.arange(part.num_rows + 1))
+            rows += [(np.concatenate([[BIAS], np.unique(at[a:b])]), y) for y, a, b in zip(part.column(0).to_pylist(), cuts[:-1], cuts[1:], strict=True)]
+        if rows:
+            w = fit(rows)
+            keep = np.flatnonzero(w)
+            yield pa.RecordBatch.from_arrays([pa.array(keep), pa.array(w[keep])], ["at", "w"])
+
+    return learn
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_bytes: int = MAX_TRAIN_BYTES) -> list[tuple[int, float]]:
     """Weights other than zero, learnt from labels (doc_id, toxic) of which at most max_train count."""
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.withColumn("rank", F.xxhash64("doc_id", F.lit(11))).orderBy("rank", "doc_id").limit(max_train)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("rank", "toxic", "text")
-    return [(r["at"], r["w"]) for r in rows.repartition(1).mapInArrow(_learn, "at long, w double").collect()]
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("rank", "doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    rows = rows.repartition(1).sortWithinPartitions("rank", "doc_id").select("toxic", "text")
+    return [(r["at"], r["w"]) for r in rows.mapInArrow(_learn(max_bytes), "at long, w double").collect()]
 
 
 def _scorer(weights, name):
@@ -112,15 +122,17 @@ def with_score(docs: DataFrame, labels: DataFrame, name: str = "score", max_trai
     at = np.array([a for a, _ in learnt] or [BIAS], np.int64)
     w = np.array([x for _, x in learnt] or [np.log(0.25 / 0.75)])
     shared = docs.sparkSession.sparkContext.broadcast((at, w))
-    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.DoubleType())])
-    return rows.mapInArrow(_scorer(shared, name), schema)
+    plain = ["text" if c == "text" else f"c{k}" for k, c in enumerate(rows.columns)]  # names that any sign may be in do not pass through there
+    schema = T.StructType([*(T.StructField(c, f.dataType) for c, f in zip(plain, rows.schema.fields, strict=True)), T.StructField("s", T.DoubleType())])
+    return rows.toDF(*plain).mapInArrow(_scorer(shared, "s"), schema).toDF(*rows.columns, name)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, held_out, score, predicted.
 
     Learns only from labelled rows that are not held out; labels that are null or not 0
-    or 1 are not used, and of repeated ones the highest counts. Without any usable label
+    or 1 are not used, and of repeated ones the highest counts; of several texts under one
+    doc_id the lowest is learnt from, and each is scored. An empty table gives no rows. Without any usable label
     there is nothing to learn: each score is 0.25 (a uniform prior leaning to clean) and
     predicted 0. Null, empty and wordless texts have the score of the intercept alone.
     Rows without a doc_id are left out. Other columns are not read.

@@ -534,3 +534,93 @@ def test_templates_take_the_longest_unit_and_runs_of_names(spark):
     assert got[1][0] == "§name sold §num eggs §name §name paid §num §unit".split() and got[1][1][0] == "natalia"
     assert got[2][0] == "§name said §name §num§unit".split() and got[3] == got[4] == ([], []) and got[5][0][-2:] == ["§num", "§unit"] and len(got[5][1]) == 30_003
     assert all(len(t) == len(w) for t, w in got)
+
+
+def test_learning_equals_a_plain_learner(spark):
+    rng = random.Random(19)
+    rows = [(np.array(sorted({0, *(rng.randrange(1, 40) for _ in range(rng.randrange(1, 12)))})), rng.randrange(2)) for _ in range(150)]
+    rows = [(i, int(3 in i or y and 7 in i)) for i, y in rows]
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i):
+        bound = 0.0 if i == toxicity.BIAS else toxicity.L1
+        if abs(z[i]) <= bound:
+            return 0.0
+        return -(z[i] - (1 if z[i] > 0 else -1) * bound) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for at, y in rows:
+            w = {int(i): weight(int(i)) for i in at}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i in w:
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    got = toxicity.fit(rows)
+    assert np.allclose(got[:40], [weight(i) for i in range(40)], atol=1e-9) and not got[40:].any() and got[3] > 0 and (got[1:40] == 0).sum() > 20
+
+
+def test_learning_is_bounded_and_takes_a_text_once(spark):
+    rng = random.Random(20)
+    rows = [(k, " ".join(words(rng, 30, 200) + ["vile"] * (k % 4 == 0)), "en", "s", 1, 1, "x") for k in range(300)]
+    d, lab = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(300)], "doc_id long, quality int, toxic int")
+    want = sorted(toxicity.train(d, lab))
+    assert want == sorted(toxicity.train(d.union(d), lab)) and want != sorted(toxicity.train(d, lab, max_bytes=9000))
+    assert toxicity.train(d, lab, max_bytes=3) == [] and toxicity.toxicity_scores(d.where("false"), lab).count() == 0
+    clash = d.selectExpr("*", "1 as toxic", "'z' as score", "2 as rank")
+    assert {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(clash.union(clash), lab).collect()} == {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(d, lab).collect()}
+
+
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    rng = random.Random(23)
+    cells = [(f"s{a}", f"l{b}", f"t{c}", rng.randrange(1, 10**rng.randrange(1, 6))) for a in range(6) for b in range(3) for c in range(3) if rng.random() < 0.8]
+    rows = mixing.rake(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")).collect()
+    total = sum(r["tokens"] for r in rows)
+    x = {c[:3]: float(c[3]) for c in cells}
+    for _ in range(400):
+        for m in range(3):
+            have, now = collections.Counter(), collections.Counter()
+            for c in cells:
+                have[c[m]] += c[3]
+                now[c[m]] += x[c[:3]]
+            scale = sum(v**mixing.TEMPER for v in have.values())
+            x = {c: v * total * have[c[m]] ** mixing.TEMPER / scale / now[c[m]] for c, v in x.items()}
+    assert max(abs(r["x"] - x[r["source"], r["lang"], r["topic"]]) for r in rows) < 1e-3 * total
+
+
+def test_topics_may_come_from_a_column(spark, docs):
+    out = mixing.mixture(docs.withColumn("kind", F.when(F.col("doc_id") % 2 == 0, "even")), topic=F.col("kind")).collect()
+    assert {r["topic"] for r in out} == {"even", ""} and all((r["topic"] == "even") == (r["doc_id"] % 2 == 0) for r in out)
+
+
+def _tables(spark, path, rows, columns, labels, items):
+    spark.createDataFrame(rows, columns).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+
+
+def test_pipeline_drops_toxic_and_repeated_rows_and_keeps_other_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(37)
+    rows = [(k, " ".join(words(rng, 40, 3000) + ["vile"] * (k % 4 == 0)), "en", f"s{k % 3}", 1, "a", 1, None) for k in range(300)]
+    rows += [(400, None, None, None, None, None, None, None), (401, "", "en", "s", 0, "b", 2, "c"), (None, "x", "en", "s", 1, "b", 2, "c"), rows[1], rows[1], rows[2]]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, toxicity string, rank int, `a.b` string"
+    _tables(spark, tmp_path, rows, columns, [(k, 1, int(k % 4 == 0)) for k in range(300)], [(1, "no such thing is here at all")])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    clean = corpus_pipeline.clean(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    left = sorted(r["doc_id"] for r in clean.collect())
+    assert left == sorted(r[0] for r in rows if r[0] is not None and (r[0] >= 400 or r[0] % 4))
+    one = corpus_pipeline.distinct(spark, clean, str(tmp_path))
+    assert one.columns == docs.columns and sorted(r["doc_id"] for r in one.collect()) == sorted(set(left))
+    for stage in (corpus_pipeline.uncontaminated, corpus_pipeline.mixed):
+        assert stage(spark, one, str(tmp_path)).columns == docs.columns
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 20
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    _tables(spark, tmp_path, [], "doc_id long, text string, lang string, source string, n_chars long", [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
