@@ -2,7 +2,9 @@
 
 Each stage is one operator of docketry.llm over all that the stage before kept; its result
 is written and read again before the next. All but the last return the columns of
-documents. Rows without a doc_id are dropped by the first stage.
+documents. Rows without a doc_id are dropped by the first stage. Null and empty texts pass
+the first three stages (no two of them are linked), and have no tokens to be drawn by. An
+empty table gives no rows; other columns, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
@@ -10,27 +12,33 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from docketry.llm import decontaminate, jaccard_join, mixing, token_codec, toxicity
-from docketry.llm.common import shared_dir, table
+from docketry.llm.common import fresh, named, shared_dir, table
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    return toxicity.with_score(docs, table(spark, sf_dir, "labels"), "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    score = fresh(docs, "toxicity")
+    return toxicity.with_score(docs, table(spark, sf_dir, "labels"), score).where(F.col(score) < 0.5).drop(score)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the lowest doc_id."""
+    """Of each group of linked documents the one with the lowest doc_id, as one row: of several the one with the lowest text."""
     keep = jaccard_join.jaccard_components(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    kept = docs.join(keep, "doc_id", "left_semi")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")  # ids, no texts
+    rank = fresh(docs, "rank")
+    several = kept.join(repeated, "doc_id", "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(rank) == 1).drop(rank)
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(several).select(named(docs))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     held = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(held, "doc_id", "left_anti").select(named(docs))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
