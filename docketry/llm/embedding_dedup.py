@@ -1,10 +1,12 @@
 """Embedding near-dedup by collision-counting projections (operator 3).
 
 Unit vectors with cosine >= t differ on a Gaussian projection by N(0, 2(1-t)). Many
-one-dimensional projections are taken. Groups of them, cut into coarse cells, only decide
-which vectors meet (TABLES tables of CELLS projections); for vectors that meet, collisions
-inside windows centred on the querying vector are counted over WINDOWS projections, and
-pairs reaching a count calibrated for RECALL are verified by cosine in double precision.
+one-dimensional projections are taken. Windows of one projection alone hold a good part of
+all vectors, so coarse cells of other projections part the vectors first, in TABLES ways.
+In each cell the vectors are sorted by a projection and each meets those in a window
+centred on it; for these, collisions in narrower windows are counted over WINDOWS
+projections, and pairs reaching a count calibrated for RECALL are verified by cosine in
+double precision. recall() is the probability that all this finds a pair at the threshold.
 A pair is looked at in the first table where it meets only, so nothing is counted twice,
 and each task returns link counts and a spanning forest instead of pairs.
 """
@@ -21,8 +23,10 @@ from pyspark.sql import functions as F
 from .common import components, cut, table
 
 THRESHOLD = 0.93
-CELLS, TABLES, WIDTH = 10, 20, 2.0
+CELLS, TABLES, WIDTH = 10, 28, 2.0
 WINDOWS, RECALL = 40, 0.997
+#: Half the window of the sorted projection, in standard deviations of a pair at the threshold.
+REACH = 3.5
 #: Vectors of one cell that a task takes at once; larger cells are joined block by block.
 BLOCK = 1024
 _PAIRS = 200_000
@@ -40,38 +44,54 @@ def calibrate(threshold: float = THRESHOLD, windows: int = WINDOWS, recall: floa
         c += 1
 
 
+def recall(threshold: float = THRESHOLD) -> float:
+    """Probability that a pair at the threshold is found: some table has both in a cell and a window, and the count is reached."""
+    sigma = math.sqrt(2 * (1 - threshold))
+    x = np.linspace(0, WIDTH, 20_001)
+    density = np.exp(-(x**2) / (2 * sigma**2)) * math.sqrt(2 / math.pi) / sigma
+    cell = float(np.trapezoid(density * (1 - x / WIDTH), x))  # a gap x is cut by a border with probability x / WIDTH
+    meet = cell**CELLS * math.erf(REACH / math.sqrt(2))
+    return (1 - (1 - meet) ** TABLES) * RECALL
+
+
+def _unit(vectors) -> np.ndarray:
+    x = np.stack(vectors).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _project(batches):
     for pdf in batches:
         for dim, g in pdf.groupby(pdf["embedding"].map(len)):
             rng = np.random.default_rng(1000 + dim)
             proj, shift = rng.standard_normal((dim, CELLS * TABLES)), rng.random(CELLS * TABLES)
-            x = np.stack(g["embedding"].to_numpy()).astype(np.float64)
-            x /= np.abs(x).max(axis=1, keepdims=True)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = _unit(g["embedding"].to_numpy())
             y = x @ proj
             cell = np.floor(y / WIDTH + shift).astype(np.int64).reshape(len(x), TABLES, CELLS)
             code = np.zeros((len(x), TABLES), np.int64)
             for k in range(CELLS):
                 code = code * np.int64(1_000_003) + cell[:, :, k]
-            yield pd.DataFrame({"id": g["id"], "label": g["label"], "dim": dim, "copies": g["copies"], "cells": list(code), "proj": list(y[:, :WINDOWS].astype(np.float32)), "unit": list(x)})
+            yield pd.DataFrame({"id": g["id"], "label": g["label"], "dim": dim, "copies": g["copies"], "cells": list(code), "proj": list(y[:, :WINDOWS].astype(np.float32)), "vector": g["embedding"]})
 
 
 def _count(threshold: float):
     window, least = calibrate(threshold)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["label", "dim", "t", "cell", "i", "j", "side", "id"])
-        key = pdf[["label", "dim", "t", "cell", "i", "j"]]
-        group = np.concatenate([[0], np.cumsum((key.to_numpy()[1:] != key.to_numpy()[:-1]).any(axis=1))])
+        key = ["label", "dim", "t", "cell", "i", "j"]
+        pdf = pdf.assign(at=np.stack(pdf["proj"].to_numpy())[np.arange(len(pdf)), pdf["t"]]).sort_values([*key, "at", "id"])  # a projection for each table
+        key = pdf[key].to_numpy()
+        group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
+        line = group * 1e3 + pdf["at"].to_numpy(np.float64)  # values are standard normal, so groups stay apart
         cells, proj, t = np.stack(pdf["cells"].to_numpy()), np.stack(pdf["proj"].to_numpy()), pdf["t"].to_numpy()
         side, ids, copies = pdf["side"].to_numpy(), pdf["id"].to_numpy(), pdf["copies"].to_numpy()
         cross = pdf["i"].to_numpy() != pdf["j"].to_numpy()
-        units, dims = pdf["unit"].to_numpy(), pdf["dim"].to_numpy()
-        matrix = {d: np.stack(units[dims == d]) for d in np.unique(dims)}
+        vectors, dims = pdf["vector"].to_numpy(), pdf["dim"].to_numpy()
+        matrix = {d: _unit(vectors[dims == d]) for d in np.unique(dims)}
         at = np.zeros(len(pdf), np.int64)
         for d in matrix:
             at[dims == d] = np.arange((dims == d).sum())
-        last = np.searchsorted(group, group, side="right")
+        last = np.searchsorted(line, line + REACH * window, side="right")
         left, right, held = [], [], 0
 
         def verified(a, b):
@@ -137,7 +157,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = cut(usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "classes")
     unit = cut(
         classes.select("id", F.xxhash64("label").alias("label"), "copies", "embedding").mapInPandas(
-            _project, "id long, label long, dim long, copies long, cells array<long>, proj array<float>, unit array<double>"
+            _project, "id long, label long, dim long, copies long, cells array<long>, proj array<float>, vector array<float>"
         ),
         "units",
     )
@@ -148,7 +168,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     grid = grid.select("id", "label", "dim", "t", "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
     grid = cut(grid, "grid")
     tasks = max(12, -(-grid.count() // 50_000))
-    data = grid.join(unit.select("id", "copies", "cells", "proj", "unit"), "id").withColumn("task", F.pmod(F.xxhash64("label", "dim", "t", "cell", "i", "j"), F.lit(tasks)))
+    data = grid.join(unit.select("id", "copies", "cells", "proj", "vector"), "id").withColumn("task", F.pmod(F.xxhash64("label", "dim", "t", "cell", "i", "j"), F.lit(tasks)))
     found = cut(data.groupBy("task").applyInPandas(_count(threshold), "id long, links long, root long"), "found")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     comp = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))

@@ -624,3 +624,18 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 
     _tables(spark, tmp_path, [], "doc_id long, text string, lang string, source string, n_chars long", [], [])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_embedding_dedup_recall_at_the_threshold(spark):
+    assert embedding_dedup.recall() > 0.99
+    rng = np.random.default_rng(14)
+    v = rng.standard_normal((1500, 48))
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    o = rng.standard_normal((1500, 48))
+    o -= (o * u).sum(axis=1, keepdims=True) * u
+    o /= np.linalg.norm(o, axis=1, keepdims=True)
+    c = rng.uniform(0.9301, 0.936, (1500, 1))
+    w = (c * u + np.sqrt(1 - c**2) * o) * rng.uniform(0.1, 9, (1500, 1))
+    rows = [(2 * k + j, [float(x) for x in row], k % 2) for k in range(1500) for j, row in enumerate((v[k], w[k]))]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sum(r["n_links"] for r in got) >= 0.985 * 3000 and all(r["component_id"] >= r["vec_id"] - 1 for r in got)
