@@ -69,7 +69,10 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIMIT) -> DataFrame:
-    """One row per row of pages (page_id, url): page_id, host, path, rule, verdict, bad_rate.
+    """One row per row of pages (page_id, url): page_id, host, path, rule, verdict.
+
+    A registered domain is taken to be the last two labels of a host, a suffix the last one.
+    Each row counts as a page where outcomes are counted, also rows with the same page_id.
 
     outcomes: (page_id, bad 0/1); null or other values are not used, repeated ones count
     once by their highest. A url that is null or lacks '://' has an empty host and path,

@@ -639,3 +639,86 @@ def test_embedding_dedup_recall_at_the_threshold(spark):
     rows = [(2 * k + j, [float(x) for x in row], k % 2) for k in range(1500) for j, row in enumerate((v[k], w[k]))]
     got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
     assert sum(r["n_links"] for r in got) >= 0.985 * 3000 and all(r["component_id"] >= r["vec_id"] - 1 for r in got)
+
+
+def test_repeated_pages_and_long_urls(spark):
+    long = "http://a.b.example.org/" + "x/" * 40_000
+    pages = spark.createDataFrame([(1, long), (1, long), (2, "http://a.b.example.org/"), (None, "http://c.net/en/")], "page_id long, url string")
+    got = url_filter.judged(pages, spark.createDataFrame([(1, 1), (1, 0)], "page_id long, bad int")).collect()
+    assert sorted((r["page_id"] or 0, r["host"], len(r["path"]), r["rule"]) for r in got) == [(0, "c.net", 4, "net/"), (1, "a.b.example.org", 80_001, None), (1, "a.b.example.org", 80_001, None), (2, "a.b.example.org", 1, None)]
+
+
+def test_coder_is_smaller_than_zlib_and_order_0():
+    rng = np.random.default_rng(3)
+    odds = 1 / np.arange(4, 3004)  # ids as in text: some very frequent, and phrases that a page repeats
+    some, pieces = rng.choice(3000, 400_000, p=odds / odds.sum()), []
+    for page in range(100):
+        phrases = [some[page * 4000 + 7 * k :][: rng.integers(3, 7)] for k in range(40)]
+        at = page * 4000 + 300
+        for r in rng.random(450):
+            pieces.append(phrases[int(r * 160)] if r < 0.25 else some[at : at + 4])
+            at += 4
+    x = rng.permutation(48_000)[:3000].astype(np.uint32)[np.concatenate(pieces)]
+    assert len(x) > token_codec.LARGE
+    data = token_codec.encode(x)
+    p = np.unique(x, return_counts=True)[1] / len(x)
+    assert (token_codec.decode(data) == x).all()
+    assert len(data) < len(zlib.compress(x.astype("<u2").tobytes(), 6)) and 8 * len(data) / len(x) < -(p * np.log2(p)).sum()
+
+
+@pytest.mark.parametrize("n", [token_codec.LARGE - 1, token_codec.LARGE, token_codec.LARGE + 5000])
+def test_coder_keeps_rare_ids_of_large_segments(n):
+    rng = np.random.default_rng(n)
+    x = rng.integers(0, 60_000, n).astype(np.uint32)  # more ids than the table takes
+    x[rng.integers(0, n, 50)] = 2**32 - 1 - rng.integers(0, 9, 50)
+    assert (token_codec.decode(token_codec.encode(x)) == x).all()
+
+
+def test_special_tokens_are_told_from_their_look_alikes(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path(token_codec.VOCABULARY)
+    t, w = Tokenizer.from_file(path), token_codec.remembered(path)
+    w.forget()
+    import pyarrow as pa
+
+    for texts in (["a <|ENDOFTEXT|> B <|endoftext|>, <|EndOfText|>", "The THE the, The!!", None], ["<|endoftext|>", "été Été ÉTÉ. x'S don't 12th a\u0301 \u212a"], ["", "   "], ["the THE <|EndOfText|> İ ﬁ"]):
+        ids, size = w.encode(token_codec.words_of(pa.array(texts, pa.string())))
+        want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+        assert ids.tolist() == [i for x in want for i in x] and size.tolist() == list(map(len, want))
+
+
+def test_passages_cover_every_exact_run(spark):
+    rng = random.Random(51)
+    pool = [words(rng, rng.randrange(8, 90), 10**6) for _ in range(60)]
+    rows = []
+    for k in range(160):
+        t = words(rng, rng.randrange(5, 40), 10**6)
+        for _ in range(rng.randrange(4)):
+            t += rng.choice(pool)[rng.randrange(6) :] + words(rng, rng.randrange(30), 10**6)
+        rows.append((k, t + (["so"] * rng.randrange(200) if k % 7 == 0 else [])))
+    got = {r["doc_id"]: r["spans"] for r in substring_dedup.duplicated(spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string")).collect()}
+    seen, all_, found = {}, 0, 0
+    for k, t in rows:
+        runs = [tuple(t[i : i + 43]) for i in range(len(t) - 42)]
+        cover = {j for i, r in enumerate(runs) if r in seen and seen[r] != k for j in range(i, i + 43)}
+        spans = {j for s in filter(None, got[k].split(",")) for j in range(*map(int, s.split(":")[:2]))}
+        all_, found = all_ + len(cover), found + len(cover & spans)
+        assert not any(all(j + i in cover - spans for i in range(substring_dedup.WINDOW)) for j in cover)  # a few words at an end at most
+        for r in runs:
+            seen.setdefault(r, k)
+    assert all_ > 1500 and found > 0.995 * all_
+
+
+def test_chain_score_is_that_of_all_orders():
+    rng = random.Random(61)
+    for _ in range(60):
+        m = sorted({(rng.randrange(40), rng.randrange(40)) for _ in range(rng.randrange(1, 14))})
+        best = []
+        for a, b in m:
+            best.append(substring_dedup.K + max([0.0, *(best[j] - substring_dedup.GAP * (a - c + b - e) for j, (c, e) in enumerate(m[: len(best)]) if c < a and e < b)]))
+        chains = substring_dedup.chain(np.array([a for a, _ in m]), np.array([b for _, b in m]))
+        top = m[max(range(len(m)), key=lambda i: (best[i], -i))] if m else None
+        ends = {(c[1] - substring_dedup.K, c[3] - substring_dedup.K) for c in chains}
+        near = {m[i] for i in range(len(m)) if best[i] > max(best) - 1e-9}
+        assert near & ends and top in near
