@@ -46,8 +46,8 @@ SLOTS, _SHIFT = 2048, np.uint32(21)  # the top 11 bits of a 32-bit hash
 SYMBOLS, TOTAL = 20_000, 1 << 16
 #: Ids below this are counted and ranked by a table instead of a search.
 DIRECT = 1 << 18
-#: Words that a worker remembers (some 60 bytes each); a full memory is emptied, which changes no result.
-REMEMBERED = 1_000_000
+#: Words that a worker remembers (some 50 bytes each); a full one forgets those that came in one chunk only, which changes no result.
+REMEMBERED = 600_000
 _12, _16, _32, _SHORT = np.uint64(12), np.uint64(16), np.uint64(32), np.uint64(1 << 32)
 _TOP = np.uint64(2**64 - 1)
 
@@ -325,9 +325,10 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.bare.normalizer, self.bare.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
-        self.bare.model._resize_cache(0)  # each word comes once
+        self.whole = Tokenizer.from_file(path)
+        self.whole.model._resize_cache(0)  # each word comes once
+        self.bare = Tokenizer(self.whole.model)  # the same vocabulary in memory
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         for piece, i in vocabulary.items():
@@ -336,13 +337,28 @@ class WordIds:
 
     def forget(self) -> None:
         """Of a word: its hash and up to two parts; of a part: where in ids it begins and how many it has. Part 0 is empty."""
-        self.keys, self.of = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the parts
-        self.hash, self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.begin, self.size, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.keys, self.of = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # of the parts
+        self.hash, self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.chunks = np.zeros(0, np.uint8)  # in how many chunks a word was, 2 for more
+        self.begin, self.size, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, np.uint32)
+
+    def forget_rare(self) -> None:
+        """Keep the words that came in more than one chunk, and their parts."""
+        keep = self.chunks > 1
+        self.hash, self.first, self.second, self.chunks = self.hash[keep], self.first[keep], self.second[keep], self.chunks[keep] - 1
+        used = np.unique(np.concatenate([[0], self.first, self.second]))
+        new = np.full(len(self.size), -1, np.int32)
+        new[used] = np.arange(len(used))
+        size = self.size[used]
+        stop = np.cumsum(size, dtype=np.int64)
+        self.ids = self.ids[np.repeat(self.begin[used] - (stop - size), size) + np.arange(int(size.sum()))]
+        self.begin, self.size = (stop - size).astype(np.int32), size
+        keep = new[self.of] >= 0
+        self.keys, self.of, self.first, self.second = self.keys[keep], new[self.of[keep]], new[self.first], new[self.second]
 
     def _add(self, sizes, ids) -> None:
-        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(sizes) - sizes)
-        self.size, self.ids = np.append(self.size, sizes), np.append(self.ids, ids)
+        self.begin = np.append(self.begin, (len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int32))
+        self.size, self.ids = np.append(self.size, sizes.astype(np.int32)), np.append(self.ids, ids)
 
     def _single(self, words) -> tuple[list, list]:
         """(sizes, ids) of words, each encoded by itself."""
@@ -389,7 +405,7 @@ class WordIds:
         letters = np.append(0, np.cumsum(_LETTER[w.bytes], dtype=np.int32))
         plain = (last > start) & (letters[np.maximum(last, start)] - letters[start] == last - start)
         data = w.bytes.tobytes()
-        first, second = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        first, second = np.zeros(len(new), np.int32), np.zeros(len(new), np.int32)
         first[plain] = self._part(w, start[plain], last[plain], lambda words: self._letters(self.bare, words), data.lower())
         at = np.flatnonzero(~plain)
         core = np.array([last[k] > start[k] and data[start[k] : last[k]].decode("utf-8").isalpha() for k in at.tolist()], bool)
@@ -403,7 +419,7 @@ class WordIds:
         at = np.flatnonzero(plain & (last < end))
         second[at] = self._part(w, last[at], end[at], single, data)
         place = np.searchsorted(self.hash, w.hash[new])
-        self.hash, self.first, self.second = (np.insert(old, place, more) for old, more in ((self.hash, w.hash[new]), (self.first, first), (self.second, second)))
+        self.hash, self.first, self.second, self.chunks = (np.insert(old, place, more) for old, more in ((self.hash, w.hash[new]), (self.first, first), (self.second, second), (self.chunks, 0)))
 
     def encode(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sizes): the ids of the texts of a chunk (see words_of) one after another, and how many each text has."""
@@ -411,6 +427,8 @@ class WordIds:
         at = np.empty(len(hashes), np.int64)
         at[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
         order = np.argsort(hashes)
+        if len(self.hash) + len(hashes) > REMEMBERED:
+            self.forget_rare()
         if len(self.hash) + len(hashes) > REMEMBERED:
             self.forget()
         known = np.empty(len(hashes), np.int64)
@@ -420,13 +438,14 @@ class WordIds:
         if len(new):
             self.learn(w, at[new])
             known[order] = np.searchsorted(self.hash, hashes[order])
+        self.chunks[known] = np.minimum(self.chunks[known] + 1, 2)
         first, second = self.first[known], self.second[known]
         if second.any():
             part = np.stack([first, second], axis=1)[inverse].reshape(-1)
             per = 2
         else:
             part, per = first[inverse], 1
-        size = self.size[part]
+        size = self.size[part].astype(np.int64)
         stop = np.cumsum(size)
         total = int(stop[-1]) if len(stop) else 0
         gather = np.repeat(self.begin[part] - (stop - size), size)

@@ -75,10 +75,10 @@ def _learn(most: int):
             part = part.slice(0, int((seen + np.cumsum(size) <= most).sum()) if seen <= most else 0)
             seen += int(size.sum())
             own, at = features(part.column(1))
-            order = np.argsort(own, kind="stable")
-            own, at = own[order], at[order]
-            cuts = np.searchsorted(own, np.arange(part.num_rows + 1))
-            rows += [(np.concatenate([[BIAS], np.unique(at[a:b])]), y) for y, a, b in zip(part.column(0).to_pylist(), cuts[:-1], cuts[1:], strict=True)]
+            n = part.num_rows
+            pair = np.unique(np.concatenate([np.arange(n) * FEATURES + BIAS, own * FEATURES + at]))  # each coordinate of a text once
+            cuts, at = np.searchsorted(pair, np.arange(n + 1) * FEATURES), (pair % FEATURES).astype(np.int32)
+            rows += [(at[a:b], y) for y, a, b in zip(part.column(0).to_pylist(), cuts[:-1], cuts[1:], strict=True)]
         if rows:
             w = fit(rows)
             keep = np.flatnonzero(w)

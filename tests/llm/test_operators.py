@@ -722,3 +722,19 @@ def test_chain_score_is_that_of_all_orders():
         ends = {(c[1] - substring_dedup.K, c[3] - substring_dedup.K) for c in chains}
         near = {m[i] for i in range(len(m)) if best[i] > max(best) - 1e-9}
         assert near & ends and top in near
+
+
+def test_word_memory_forgets_without_a_trace(monkeypatch):
+    from tokenizers import Tokenizer
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_codec, "REMEMBERED", 60)
+    path, rng = tokenizers.path(token_codec.VOCABULARY), random.Random(77)
+    t, w = Tokenizer.from_file(path), token_codec.WordIds(path)
+    pool = ["often", "seen,", "again!!", "über", "naïve.", "x1y2", "Don't"]
+    for _ in range(40):
+        texts = [" ".join(rng.choice(pool) if rng.random() < 0.5 else "".join(rng.choice("abcdeé,.1") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(30))) for _ in range(2)]
+        ids, size = w.encode(token_codec.words_of(pa.array(texts)))
+        want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert ids.tolist() == [i for x in want for i in x] and size.tolist() == list(map(len, want))
+    assert len(w.hash) <= 60 and len(w.size) <= 130
