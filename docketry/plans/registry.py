@@ -386,6 +386,71 @@ def coverage_floor(spark, d):
     return checks.coverage_floor(now, best)
 
 
+# ------------------------------------------------------------------ whole operators
+
+@query(r"""
+select event_id, 'A' || event_id::varchar as id, 2 as line_from, 10 as line_to, case when event_id % 3 = 2 then '' else 'x ' || event_type end as text, case when event_id % 3 = 2 then 1 else 0 end as n_tables, case when event_id % 3 = 2 then 1 else 0 end as dropped_rows, 0 as ordinal from events""")
+def answer_items(spark, d):
+    """Answers in three forms: well-formed, with a comma too many, and with a table of which one row does not fit."""
+    number = F.col("event_id").cast("string")
+    head = F.concat(F.lit('said: {"items": [{"id": " a'), number, F.lit('", "lines": [12, "2"], '))
+    words = F.concat(F.lit('"text": " x '), F.col("event_type"), F.lit(' "'))
+    form = F.when(F.col("event_id") % 3 == 0, F.concat(head, words, F.lit('}, {"id": "B1", "text": "not asked"}]}'))).when(F.col("event_id") % 3 == 1, F.concat(head, words, F.lit(',}, {"id": "B1", "text": "not asked"},]}')))
+    table = F.concat(head, F.lit('"tables": [{"title": "t", "headers": ["a", "b"], "rows": [["1", 2], ["x"]]}, {"headers": [], "rows": []}]}]}'))
+    answers = _t(spark, d, "events").select("event_id", F.coalesce(form, table).alias("response"), F.array(F.concat(F.lit("A"), number)).alias("allowed"), F.lit(10).alias("n_lines"))
+    return items.parse_items(answers).select("event_id", "id", "line_from", "line_to", "text", F.size("tables").alias("n_tables"), "dropped_rows", "ordinal")
+
+
+@query("select conv_id, role, turn, length(text) as chars from (select *, row_number() over (partition by conv_id, role order by length(text) % 2 desc, length(text) desc, turn % 2, turn) as r from conversations) where r = 1")
+def best_reply(spark, d):
+    c = _t(spark, d, "conversations").withColumns({"verified": F.length("text") % 2 == 1, "file_rank": F.col("turn") % 2, "window": F.col("turn"), "ordinal": F.lit(0)})
+    return resolve.best_replies(c, ["conv_id", "role"]).select("conv_id", "role", "turn", F.length("text").cast("long").alias("chars"))
+
+
+@query("""
+with f as (select source as case_id, case doc_id % 3 when 0 then 'scn' when 1 then 'reply' else 'order' end as role, doc_id::varchar || '.pdf' as file, n_chars as bytes from documents where doc_id % 10 <> 9)
+select case_id, role, file, bytes, row_number() over (partition by case_id, role order by bytes desc, file) as size_rank from f""")
+def inventory_files(spark, d):
+    """Documents as files of three roles; every tenth is no PDF."""
+    n = F.col("doc_id")
+    folder = F.element_at(F.array(*map(F.lit, V.ROLE_NAMES.values())), (n % 3 + 1).cast("int"))
+    file = F.concat(n.cast("string"), F.when(n % 10 == 9, ".txt").otherwise(".pdf"))
+    f = _t(spark, d, "documents").select(F.col("source").alias("folder"), folder.alias("dir"), file.alias("file"), F.col("n_chars").alias("bytes"), F.lit(1).alias("pages"))
+    return files.inventory(f).where("file is not null").select("case_id", "role", "file", "bytes", F.col("size_rank").cast("long").alias("size_rank"))
+
+
+@query("""
+select d.doc_id as case_id, 'H' || (d.doc_id % 5)::varchar as param_id, d.lang as trade_name, substr(d.text, 1, 30000) as notice,
+  case when l.quality = 1 then 'Reply of ' || l.doc_id::varchar when l.quality = 0 and l.doc_id % 2 = 0 then 'lines of ' || l.doc_id::varchar else 'No reply' end as reply,
+  case when l.toxic = 0 then 'cleared' || chr(10) || chr(10) || 'T' || chr(10) || 'k' || chr(10) || '-' || chr(10) || (l.doc_id % 10)::varchar else 'No finding' end as finding,
+  case when l.quality = 1 then 'verified' when l.quality = 0 and l.doc_id % 2 = 0 then 'fallback' when l.quality = 0 then 'dropped' end as reply_status
+from documents d left join labels l using (doc_id)""")
+def register_rows(spark, d):
+    """The register itself: verified answers, answers that fall back to lines, dropped and missing ones, and a table in a cell."""
+    from ..operators.register import register as whole
+
+    docs = _t(spark, d, "documents")
+    param = F.concat(F.lit("H"), (F.col("doc_id") % 5).cast("string")).alias("param_id")
+    case, number = F.col("doc_id").alias("case_id"), F.col("doc_id").cast("string")
+    labels = _t(spark, d, "labels")
+    status = F.when(F.col("quality") == 1, "verified").when(F.col("doc_id") % 2 == 0, "fallback").otherwise("dropped")
+    replies = labels.where("quality in (0, 1)").select(case, param, status.alias("status"), F.concat(F.lit("Reply of "), number).alias("text"), F.lit(None).cast(evidence.TABLES).alias("tables"), F.concat(F.lit("lines of "), number).alias("fallback_text"))
+    table = F.array(F.struct(F.lit("T").alias("title"), F.array(F.lit("k")).alias("headers"), F.array(F.array((F.col("doc_id") % 10).cast("string"))).alias("rows")))
+    findings = labels.where("toxic in (0, 1)").select(case, param, F.when(F.col("toxic") == 0, "verified").otherwise("dropped").alias("status"), F.lit("cleared").alias("text"), table.alias("tables"), F.lit(None).cast("string").alias("fallback_text"))
+    r = whole(docs.select(case, param, "text"), docs.select(case, F.col("lang").alias("trade_name")), replies, findings)
+    return r.drop("finding_status")
+
+
+@query("""
+with t as (select o_orderkey, o_orderkey::varchar as a, o_custkey::varchar as b, o_orderstatus as c from orders),
+w as (select *, greatest(3, length(a)) as wa, greatest(4, length(b), length(c)) as wb from t)
+select o_orderkey, 'Orders' || chr(10) || rtrim(rpad('key', wa::int, ' ') || '  ' || rpad('cust', wb::int, ' ')) || chr(10) || repeat('-', wa) || '  ' || repeat('-', wb) || chr(10) || rtrim(rpad(a, wa::int, ' ') || '  ' || rpad(b, wb::int, ' ')) || chr(10) || rtrim(rpad('', wa::int, ' ') || '  ' || rpad(c, wb::int, ' ')) as cell from w""")
+def table_cells(spark, d):
+    rows = F.array(F.array(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")), F.array(F.lit(""), F.col("o_orderstatus")))
+    t = F.struct(F.lit("Orders").alias("title"), F.array(F.lit("key"), F.lit("cust")).alias("headers"), rows.alias("rows"))
+    return _t(spark, d, "orders").select("o_orderkey", t.alias("t")).select("o_orderkey", X.render_table("t").alias("cell"))
+
+
 # ------------------------------------------------------------------ not expressible in SQL
 
 @query()
