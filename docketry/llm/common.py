@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

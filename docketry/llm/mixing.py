@@ -42,6 +42,11 @@ def weighed(docs: DataFrame, *more, topic: F.Column | None = None) -> DataFrame:
     )
 
 
+def _held(frame: DataFrame) -> DataFrame:
+    """The cells cut to a table and taken as one part: sums over all of them need that anyway, and those by mark no shuffle then."""
+    return cut(frame, "cells").coalesce(1)
+
+
 def _off(frame: DataFrame, now: str, want: str) -> float:
     """By what share of all tokens a marginal of a column is off the wanted one at most."""
     sums = frame.select("tokens", *[(F.sum(now).over(Window.partitionBy(m)) - F.col(f"{want}{m}")).alias(m) for m in MARGINALS])
@@ -66,13 +71,13 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
         frame = frame.withColumn(f"t_{m}", want).withColumn("n", F.count("*").over(Window.partitionBy(m)))
         frame = frame.withColumn(f"t_{m}", F.coalesce(F.col(f"t_{m}") / F.nullif(F.sum(F.col(f"t_{m}") / F.col("n")).over(every), F.lit(0.0)), F.lit(0.0))).drop("n")
         frame = frame.withColumn(f"a_{m}", F.col(f"t_{m}") * F.sum("tokens").over(every))
-    frame, off = cut(frame, "cells"), float("inf")
+    frame, off = _held(frame), float("inf")
     for turn in range(turns or 4 * MOST):
         for m in MARGINALS:
             now = F.sum("x").over(Window.partitionBy(m))
             frame = frame.withColumn("x", F.when(now > 0, F.col("x") * F.col(f"a_{m}") / now).otherwise(F.lit(0.0)))
         if turn % 4 == 3:
-            frame = cut(frame, "cells")
+            frame = _held(frame)
             if turns is None:
                 last, off = off, _off(frame, "x", "a_")
                 if off <= CLOSE or off > NEARER * last:
@@ -91,7 +96,7 @@ def drawn(cells: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
     """
     every = Window.partitionBy()
     frame = rake(cells, targets).withColumn("x", F.lit(share) * F.col("x"))
-    frame = cut(frame.withColumn("y", F.least("x", "tokens")), "cells")
+    frame = _held(frame.withColumn("y", F.least("x", "tokens")))
     if frame.where("x > tokens").isEmpty():
         return frame.select(*MARGINALS, "tokens", "y")
     for m in MARGINALS:
@@ -102,7 +107,7 @@ def drawn(cells: DataFrame, targets=None, share: float = SHARE) -> DataFrame:
             for m in MARGINALS:
                 now = F.sum("y").over(Window.partitionBy(m))
                 frame = frame.withColumn("x", F.when(now > 0, F.least(F.col("x") * F.col(f"w_{m}") / now, F.lit(1e200))).otherwise(F.lit(0.0))).withColumn("y", F.least("x", "tokens"))
-        frame = cut(frame, "cells")
+        frame = _held(frame)
         last, off = off, _off(frame, "y", "w_")
         if off <= CLOSE or off > NEARER * last:
             break
