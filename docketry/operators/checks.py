@@ -71,3 +71,22 @@ def coverage_floor(now: DataFrame, best: DataFrame) -> DataFrame:
 def raised_mark(now: DataFrame, best: DataFrame) -> DataFrame:
     """The mark after a clean run: the highest of each measure."""
     return now.unionByName(best).agg(F.max("cases").alias("cases"), F.max("cells").alias("cells"))
+
+
+def outcome(violations: DataFrame, floors: DataFrame, now: DataFrame, best: DataFrame) -> tuple[int, DataFrame]:
+    """(exit status, mark): 0 and the raised mark after a run without a violation above its floors, else 1 and the mark as it was."""
+    clean = violations.isEmpty() and floors.where("not ok").isEmpty()
+    return (0, raised_mark(now, best)) if clean else (1, best)
+
+
+def reply_summary(replies: DataFrame) -> DataFrame:
+    """(cells, answered, share, unverified) of answers: shown in their own words or by their lines; share is null without cells."""
+    shown = F.count_if(F.col("status").isin("verified", "fallback"))
+    total = F.count("*")
+    return replies.agg(total.alias("cells"), shown.alias("answered"), F.when(total > 0, shown / total).alias("share"), F.count_if(F.col("status") == "fallback").alias("unverified"))
+
+
+def verdict_counts(findings: DataFrame, verdicts=V.VERDICTS) -> DataFrame:
+    """(verdict, findings) for each verdict there is, also those that no order came to."""
+    every = findings.sparkSession.createDataFrame([(v,) for v in verdicts], "verdict string")
+    return F.broadcast(every).join(findings.groupBy("verdict").agg(F.count("*").alias("findings")), "verdict", "left").na.fill(0, ["findings"])

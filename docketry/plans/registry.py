@@ -451,6 +451,18 @@ def table_cells(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", t.alias("t")).select("o_orderkey", X.render_table("t").alias("cell"))
 
 
+@query("select count(*) as cells, count_if(quality = 1 or doc_id % 2 = 0) as answered, count_if(quality = 1 or doc_id % 2 = 0) / count(*) as share, count_if(quality <> 1 and doc_id % 2 = 0) as unverified from labels where quality in (0, 1)")
+def reply_summary(spark, d):
+    status = F.when(F.col("quality") == 1, "verified").when(F.col("doc_id") % 2 == 0, "fallback").otherwise("dropped")
+    return checks.reply_summary(_t(spark, d, "labels").where("quality in (0, 1)").select(status.alias("status")))
+
+
+@query("select v.verdict, count(c.turn) as findings from (values ('dropped'), ('confirmed'), ('partly confirmed'), ('unclear')) v(verdict) left join (select turn, case turn % 4 when 0 then 'dropped' when 1 then 'confirmed' when 2 then 'unclear' else 'settled' end as verdict from conversations) c using (verdict) group by 1")
+def verdict_histogram(spark, d):
+    said = F.element_at(F.array(*map(F.lit, ("dropped", "confirmed", "unclear", "settled"))), (F.col("turn") % 4 + 1).cast("int"))
+    return checks.verdict_counts(_t(spark, d, "conversations").select(said.alias("verdict")))
+
+
 # ------------------------------------------------------------------ not expressible in SQL
 
 @query()

@@ -9,6 +9,7 @@ from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame
 
+from ..functions import text as X
 from ..operators.resolve import upsert
 
 
@@ -50,7 +51,10 @@ def _column(k: int) -> str:
 
 
 def write_workbook(path: str, sheets: list[tuple[str, list[str], list[int], Iterable]]) -> None:
-    """An .xlsx of (name, headers, widths, rows): rows are taken one at a time, so a sheet may be an iterator."""
+    """An .xlsx of (name, headers, widths, rows): rows are taken one at a time, so a sheet may be an iterator.
+
+    A row is a list of cells, or such a list and the height of the row.
+    """
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         types = "".join(f'<Override PartName="/xl/worksheets/sheet{k + 1}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for k in range(len(sheets)))
         z.writestr("[Content_Types].xml", f'{_HEAD}<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>{types}</Types>')
@@ -69,6 +73,7 @@ def write_workbook(path: str, sheets: list[tuple[str, list[str], list[int], Iter
 
 
 def _row(r: int, cells, style: int) -> bytes:
+    cells, height = cells if isinstance(cells, tuple) else (cells, None)
     out = []
     for c, v in enumerate(cells):
         at = f'r="{_column(c)}{r}" s="{style}"'
@@ -76,7 +81,8 @@ def _row(r: int, cells, style: int) -> bytes:
             out.append(f"<c {at}><v>{v}</v></c>")
         else:
             out.append(f'<c {at} t="inlineStr"><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>')
-    return f'<row r="{r}">{"".join(out)}</row>'.encode()
+    tall = "" if height is None else f' ht="{height}" customHeight="1"'
+    return f'<row r="{r}"{tall}>{"".join(out)}</row>'.encode()
 
 
 def register_workbook(register_: DataFrame, contents: DataFrame, path: str, notice_only: bool = False) -> None:
@@ -89,10 +95,13 @@ def register_workbook(register_: DataFrame, contents: DataFrame, path: str, noti
     index = contents.orderBy("position").collect()  # a row per parameter
     total = ["", "Total", *[sum(r[c] for r in index) for c in ("companies", "replies", "no_reply", "findings", "no_finding")]]
     front = ("Contents", ["Sheet", "Parameter", "Companies", "Replies", "No reply", "Findings", "No finding"], [30, 60, 12, 12, 12, 12, 12], [*[[r["sheet"], r["title"], r["companies"], r["replies"], r["no_reply"], r["findings"], r["no_finding"]] for r in index], total])
-    pages = sheet(register_, notice_only)
+    pages = sheet(register_, notice_only).withColumn("height", X.row_height(names, widths[2:])).persist()  # computed once for all sheets
 
     def rows(pid):
         for r in pages.where(pages["param_id"] == pid).toLocalIterator():
-            yield [r["case_id"], r["trade_name"], *[r[n] for n in names]]
+            yield [r["case_id"], r["trade_name"], *[r[n] for n in names]], r["height"]
 
-    write_workbook(path, [front, *[(r["sheet"], headers, widths, rows(r["param_id"])) for r in index]])
+    try:
+        write_workbook(path, [front, *[(r["sheet"], headers, widths, rows(r["param_id"])) for r in index]])
+    finally:
+        pages.unpersist()

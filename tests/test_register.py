@@ -336,3 +336,45 @@ def test_answers_are_read_alike_by_both_decoders(spark):
 def test_salvage_reads_nested_and_repaired_objects():
     assert items.salvage('{"items": [{"id": 1, "in": {"id": 2}}, {"note": {"id": 3,},') == [{"id": 2}, {"id": 1, "in": {"id": 2}}, {"id": 3}]
     assert items.salvage("no { object } here") == [] and items.salvage('[{"x": 1}]') == []
+
+
+def test_the_mark_is_raised_by_a_clean_run_only(spark):
+    now, best = spark.createDataFrame([(12, 90)], "cases long, cells long"), spark.createDataFrame([(10, 100)], "cases long, cells long")
+    floors, low = checks.coverage_floor(now, best), checks.coverage_floor(now, best.selectExpr("cases * 2 as cases", "cells"))
+    none = spark.createDataFrame([], "check string, case_id string, param_id string, detail string")
+    status, mark = checks.outcome(none, floors, now, best)
+    assert status == 0 and tuple(mark.first()) == (12, 100)
+    for violations, f in ((spark.createDataFrame([("verbatim", "c", "p", "")], none.schema), floors), (none, low)):
+        status, mark = checks.outcome(violations, f, now, best)
+        assert status == 1 and tuple(mark.first()) == (10, 100)
+
+
+def test_run_summaries(spark):
+    r = spark.createDataFrame([("verified",), ("fallback",), ("dropped",), ("silent",)], "status string")
+    assert tuple(checks.reply_summary(r).first()) == (4, 2, 0.5, 1) and tuple(checks.reply_summary(r.where("false")).first()) == (0, 0, None, 0)
+    v = spark.createDataFrame([("dropped",), ("dropped",), ("odd",)], "verdict string")
+    assert {r["verdict"]: r["findings"] for r in checks.verdict_counts(v).collect()} == {"dropped": 2, "confirmed": 0, "partly confirmed": 0, "unclear": 0}
+
+
+def test_lines_that_carry_the_next_ones_give_the_same_headings(spark):
+    text = "Excess claim of ITC in GSTR-3B\nw.r.t GSTR-9\nx\nShort paid of tax on taxable supplies\nreported in\nGSTR-09:\nlast"
+    d = spark.createDataFrame([("k", text), ("l", ""), ("m", "GSTR-1 late fee")], "case_id string, text string")
+    one, two = (sorted(map(tuple, segment.headings(segment.split_lines(d, ahead=a)).collect())) for a in (0, 2))
+    assert one == two and [r[1:] for r in one if r[0] == "k"] == [(0, 2, "B4"), (3, 3, "A1")]
+
+
+def test_widest_spans_repairs_and_single_cases(spark):
+    s = spark.createDataFrame([("c", "p", 3, 9, 0, 0), ("c", "p", 1, 9, 500, 0), ("c", "p", 11, 19, 0, 1), ("c", "q", 1, 1, 0, 0)], "case_id string, param_id string, line_from int, line_to int, window int, ordinal int")
+    assert sorted((r["param_id"], r["line_from"], r["window"]) for r in resolve.widest_spans(s).collect()) == [("p", 11, 0), ("q", 1, 0)]
+    a = spark.createDataFrame([(1, 'so: {"prose": " p ", "tables": [{"title": "t", "headers": ["a", "b"], "rows": [["1", 2], ["3"]]}]}'), (2, "nothing"), (3, None), (4, '{"prose": "p"}')], "k int, response string")
+    got = items.parse_repairs(a).collect()
+    assert [(r["k"], r["prose"], r["tables"][0]["rows"]) for r in got] == [(1, "p", [["1", "2"]])]
+
+
+def test_rows_of_the_workbook_have_their_height(spark, tmp_path):
+    import zipfile
+
+    r = spark.createDataFrame([("c1", "A1", "Sun", "x " * 400, "No reply", "No finding")], "case_id string, param_id string, trade_name string, notice string, reply string, finding string")
+    sinks.register_workbook(r, register.contents(r, register.param_dim(spark)), f"{tmp_path}/h.xlsx")
+    page = zipfile.ZipFile(f"{tmp_path}/h.xlsx").read("xl/worksheets/sheet2.xml").decode()
+    assert '<row r="2" ht="126.5" customHeight="1">' in page  # nine lines of the notice, one of either answer
