@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embedding_dedup, jaccard_join, mixing, pii, substring_dedup, token_codec, token_counts, toxicity, url_filter
+from . import decontaminate, divergence, embedding_dedup, html_text, jaccard_join, mixing, pii, resampling, substring_dedup, token_codec, token_counts, toxicity, url_filter
 
 
 def queries():
@@ -17,6 +17,9 @@ def queries():
         "op8_token_ids": token_codec.op8_token_ids,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
+        "op11_resampling": resampling.op11_resampling,
+        "op12_source_divergence": divergence.op12_source_divergence,
+        "op13_html_text": html_text.op13_html_text,
     }
 
 
@@ -25,4 +28,6 @@ def oracle_sql():
         "op5_benchmark_decontamination": decontaminate.ORACLE_SQL,
         "op7_url_filter": url_filter.ORACLE_SQL,
         "op10_mixing": mixing.ORACLE_SQL,
+        "op11_resampling": resampling.ORACLE_SQL,
+        "op12_source_divergence": divergence.ORACLE_SQL,
     }
