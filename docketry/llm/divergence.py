@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM, BETWEEN = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: A term is kept from this many documents of its language on; frequencies are in units of 1/SCALE, counts smoothed by ALPHA.
 LEAST_DOCS, ALPHA, SCALE = 3, 1, 1_000_000_000
 TOP_TERMS = 200
@@ -22,15 +22,14 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def terms(text) -> F.Column:
-    """The terms of a text in order, only A-Z lower-cased (lower() does that to ASCII words)."""
-    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, _UPPER, _LOWER)))
+    """The matches of TERM in a text in order, only A-Z lower-cased: what stands between matches of its complement; the first and the last can be empty."""
+    return F.split(F.translate(text, _UPPER, _LOWER), BETWEEN, -1)
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of a term in a group and documents of the group that have it."""
-    found = docs.select("lang", "source", terms(F.col("text")).alias("found")).where(F.size("found") > 0)
-    size = F.size("found")
-    rows = found.select("lang", "source", size.alias("size"), F.posexplode(F.concat("found", F.array_distinct("found"))).alias("at", "term"))
+    found = docs.select("lang", "source", terms("text").alias("found"))
+    rows = found.select("lang", "source", F.size("found").alias("size"), F.posexplode(F.concat("found", F.array_distinct("found"))).alias("at", "term")).where("term <> ''")
     once = F.col("at") >= F.col("size")  # behind all occurrences stands each term once
     return rows.groupBy("lang", "source", "term").agg(F.count_if(~once).alias("n"), F.count_if(once).alias("docs"))
 
@@ -66,17 +65,17 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_TE
     columns are not read.
     """
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
-    groups = cut(docs.select("lang", "source").distinct(), "groups")
-    counts = cut(counted(docs), "terms")
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all_n")).where(F.col("docs") >= least_docs).drop("docs")
-    kept = cut(kept, "kept")
+    groups = docs.select("lang", "source").distinct()
+    here = Window.partitionBy("lang", "term")
+    has = counted(docs).withColumns({"docs": F.sum("docs").over(here), "all_n": F.sum("n").over(here)}).where(F.col("docs") >= least_docs)
+    has = cut(has.select("lang", "source", "term", "n", "all_n"), "terms")
+    kept = has.groupBy("lang", "term").agg(F.first("all_n").alias("all_n"))
     size = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("all_n").alias("all_total"))
-    has = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
     total = has.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = cut(groups.join(total, ["lang", "source"], "left").join(size, "lang", "left").na.fill(0, ["total", "kept", "all_total"]), "groups")
 
     dense = _with_groups(kept.select("lang", "term"), groups.select("lang", "source", "total", "kept"))
-    dense = dense.join(counts.select("lang", "term", "source", "n"), ["lang", "term", "source"], "left")
+    dense = dense.join(has.select("lang", "term", "source", "n"), ["lang", "term", "source"], "left")
     dense = cut(dense.select("lang", "term", "source", frequency(F.coalesce("n", F.lit(0)), F.col("total"), F.col("kept")).alias("p")).repartition("lang", "term"), "dense")
     a, b = dense.alias("a"), dense.alias("b")
     same = (F.col("a.lang") == F.col("b.lang")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.source") != F.col("b.source"))
