@@ -55,17 +55,18 @@ def loose_roles(files: DataFrame) -> DataFrame:
     return inside.unionByName(rest.withColumn("role", F.coalesce(hinted_role("file"), F.lit("scn"))))
 
 
-def inventory(files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+def inventory(files: DataFrame, folders: DataFrame | None = None, kinds: str = r"\.pdf$", others: tuple[str, ...] = ()) -> DataFrame:
     """(case_id, folder, role, dir, file, bytes, pages, size_rank) of (folder, dir, file, bytes, pages).
 
-    folders: all case folders, so that one without any file keeps a row with nulls.
+    folders: all case folders, so that one without any file keeps a row with nulls. kinds: a
+    pattern of the names of files that count; others: further columns to keep.
     """
     every = (folders.select("folder") if folders is not None else files.select("folder")).union(files.select("folder")).distinct()
     roles = role_dirs(files)
-    kept = files.where(F.col("file").rlike(r"\.pdf$")).join(roles, ["folder", "dir"])
+    kept = files.where(F.col("file").rlike(kinds)).join(roles, ["folder", "dir"])
     rank = F.row_number().over(Window.partitionBy("folder", "role").orderBy(F.col("bytes").desc(), "file"))
     kept = kept.withColumn("size_rank", rank)
-    return case_keys(every).join(kept, "folder", "left").select("case_id", "folder", "role", "dir", "file", "bytes", "pages", "size_rank")
+    return case_keys(every).join(kept, "folder", "left").select("case_id", "folder", "role", "dir", "file", "bytes", "pages", "size_rank", *others)
 
 
 def extraction_jobs(inv: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import subprocess
 import tempfile
 from collections.abc import Callable
 from pathlib import Path
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +17,15 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 
-def pdf_files(spark: SparkSession, root: str) -> DataFrame:
-    """(folder, dir, file, bytes, path) of <root>/<folder>[/<dir>]/<file>.pdf, contents not read."""
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(root).select("path", F.col("length").alias("bytes"))
+def pdf_files(spark: SparkSession, root: str, kinds: tuple[str, ...] = ("pdf",)) -> DataFrame:
+    """(folder, dir, file, bytes, path, modified) of <root>/<folder>[/<dir>]/<file>.<kind>, contents not read."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{{{','.join(kinds)}}}").load(root).select("path", F.col("length").alias("bytes"), F.unix_micros("modificationTime").alias("modified"))
     # the path as written by the file system, percent escapes resolved
     rest = F.split(F.regexp_extract(F.url_decode(F.regexp_replace("path", r"\+", "%2B")), r"^.*?" + _tail(root) + r"/(.*)$", 1), "/")
-    return f.select(F.get(rest, 0).alias("folder"), F.when(F.size(rest) > 2, F.get(rest, 1)).otherwise("").alias("dir"), F.element_at(rest, -1).alias("file"), "bytes", "path").where(F.size(rest).between(2, 3))
+    return f.select(F.get(rest, 0).alias("folder"), F.when(F.size(rest) > 2, F.get(rest, 1)).otherwise("").alias("dir"), F.element_at(rest, -1).alias("file"), "bytes", "path", "modified").where(F.size(rest).between(2, 3))
 
 
 def _tail(root: str) -> str:
-    import re
-
     return re.escape(root.rstrip("/").rpartition("/")[2])
 
 
@@ -80,28 +80,48 @@ def pdf_ocr(pdf: bytes, dpi: int = 300) -> tuple[str, int]:
     return "\n".join(pages), len(images)
 
 
-def extracted(files: DataFrame, extract: Extractor, out: str = "text") -> DataFrame:
-    """files (with path) and the text an extractor gives; an error leaves the text null and says why."""
-    content = files.sparkSession.read.format("binaryFile")
+def read_bytes(path: str) -> bytes:
+    """The content of a file where it is needed: local ones plainly, others by pyarrow's file systems."""
+    if path.startswith("file:") or "://" not in path:
+        return Path(unquote(re.sub("^file:/*", "/", path))).read_bytes()
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(inner) as f:
+        return f.read()
+
+
+def tasks_for(rows: DataFrame, size, bytes_a_task: int = 128 << 20) -> int:
+    """Tasks for rows whose contents have `size` bytes each: a core's worth at least, ten thousand at most."""
+    total = rows.agg(F.coalesce(F.sum(size), F.lit(0)).cast("long")).first()[0]
+    return min(10_000, max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // bytes_a_task)))
+
+
+def extracted(files: DataFrame, extract: Extractor, out: str = "text", read=read_bytes) -> DataFrame:
+    """files (path, bytes, ...) and the text an extractor gives; an error leaves the text null and says why.
+
+    Only the rows of files are dealt over tasks; each task opens its files itself, so that no
+    content crosses a shuffle.
+    """
 
     def run(frames):
         for pdf in frames:
             got = []
-            for b in pdf["content"]:
+            for path in pdf["path"]:
                 try:
-                    got.append((*extract(bytes(b)), None))
+                    got.append((*extract(read(path)), None))
                 except Exception as e:  # noqa: BLE001 - kept in the row, never taken for an empty text
                     got.append((None, None, f"{type(e).__name__}: {e}"))
-            yield pdf.drop(columns="content").assign(**{out: [g[0] for g in got], "pages": pd.array([g[1] for g in got], "Int64"), "error": [g[2] for g in got]})
-
-    roots = F.regexp_replace("path", r"/[^/]*$", "")
-    folders = [r["d"] for r in files.select(roots.alias("d")).distinct().collect()]  # folder names, no contents
-    if not folders:
-        return files.withColumns({out: F.lit(None).cast("string"), "pages": F.lit(None).cast("long"), "error": F.lit(None).cast("string")})
-    data = content.option("pathGlobFilter", "*.pdf").load(folders).select("path", "content")
-    both = files.drop("pages").join(data, "path")
-    schema = ", ".join([f"`{c}` {t}" for c, t in both.drop("content").dtypes] + [f"{out} string, pages long, error string"])
-    return both.mapInPandas(run, schema)
+            yield pdf.assign(**{out: [g[0] for g in got], "pages": pd.array([g[1] for g in got], "Int64"), "error": [g[2] for g in got]})
+
+    rows = files.drop("pages")
+    schema = ", ".join([f"`{c}` {t}" for c, t in rows.dtypes] + [f"{out} string, pages long, error string"])
+    return rows.repartition(tasks_for(rows, F.col("bytes") if "bytes" in rows.columns else F.lit(1 << 20)), "path").mapInPandas(run, schema)
+
+
+def plain_text(content: bytes) -> tuple[str, int]:
+    """A text file's words as one page."""
+    return content.decode("utf-8", "replace"), 1
 
 
 def descriptions(rows: DataFrame, mapping: dict[int, str]) -> DataFrame:
