@@ -463,6 +463,84 @@ def verdict_histogram(spark, d):
     return checks.verdict_counts(_t(spark, d, "conversations").select(said.alias("verdict")))
 
 
+# ------------------------------------------------------------------ pages, stored answers, the gate
+
+_PAGE_READS = f"""select *, length(regexp_replace(m, '^\\s+|\\s+$', '', 'g')) as lm, length(regexp_replace(w, '^\\s+|\\s+$', '', 'g')) as lw from (
+select doc_id, page, k, case when (doc_id + page) % 5 = 0 then '' else t end as w, case when k = 1 then '<<BLANK>>' when k = 3 then repeat('made up words of ' || doc_id::varchar || ' ', 400) when k > 3 then t || ' seen' end as m
+from (select doc_id, i // 8 + 1 as page, (doc_id + (i // 8 + 1) * 3) % 7 as k, string_agg(line, chr(10) order by i) as t from ({_LINES}) group by all))""".replace("\\\\", "\\")
+_JUDGED = f"""
+with p as ({_PAGE_READS}), ra as ({_runs('doc_id, page', 'p', 3, 'm')}), rb as ({_runs('doc_id, page', 'p', 3, 'w')}),
+o as (select doc_id, page, count(rb.run) / count(*) as ov from ra left join rb using (doc_id, page, run) group by 1, 2),
+q as (select p.*, coalesce(ov, 1) as ov, lm = 0 or m = '<<BLANK>>' as empty from p left join o using (doc_id, page)),
+v as (select *, case when k = 2 then 'model-failed-missing' when k = 0 then 'model-failed-TimeoutError' when empty then 'blank' when lw < 120 and lm > 400 then 'invented-on-blank-page' when lw < 120 then 'ok-sparse' when ov < 0.15 and length(m) > 2.0 * length(w) then 'drift' else 'ok' end as verdict from q),
+j as (select doc_id, page, verdict, case when verdict like 'model-failed%' or verdict = 'drift' then w when verdict = 'blank' then case when lw >= 120 then w else '' end when verdict like 'invented%' then '' else m end as text from v)"""
+
+
+def _judged_pages(spark, d):
+    """Eight lines are a page. The witness misses a fifth of the pages; the model fails, answers blank, says nothing, makes words up, or reads."""
+    from ..operators import pages
+
+    docs = _t(spark, d, "documents").select("doc_id", X.lines("text").alias("ls"))
+    page = docs.select("doc_id", F.size("ls").alias("n"), "ls").select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(F.size("ls"), F.lit(1)) - 1, F.lit(8)), lambda at: F.when(at < F.size("ls"), F.array_join(F.slice("ls", at + 1, 8), "\n")))).alias("p", "t"))
+    page = page.where("t is not null").select("doc_id", (F.col("p") + 1).alias("page"), "t").withColumn("k", (F.col("doc_id") + F.col("page") * 3) % 7)
+    witness = page.select("doc_id", "page", F.when((F.col("doc_id") + F.col("page")) % 5 != 0, F.col("t")).alias("text"))
+    made_up = F.repeat(F.concat(F.lit("made up words of "), F.col("doc_id").cast("string"), F.lit(" ")), F.lit(400))
+    said = F.when(F.col("k") == 1, V.BLANK).when(F.col("k") == 3, made_up).when(F.col("k") > 3, F.concat("t", F.lit(" seen")))
+    model = page.where("k <> 2").select("doc_id", "page", said.alias("response"), F.when(F.col("k") == 0, "TimeoutError: slow").alias("error"))
+    return pages.judged(model, witness, ["doc_id"])
+
+
+@query(f"{_JUDGED} select doc_id, page, verdict, length(text) as chars from j")
+def page_verdicts(spark, d):
+    shown = F.regexp_replace("verdict", r"-\d\.\d\d$", "")
+    return _judged_pages(spark, d).select("doc_id", F.col("page").cast("long").alias("page"), shown.alias("verdict"), F.length("text").cast("long").alias("chars"))
+
+
+@query(f"""{_JUDGED} select doc_id, count(*) as pages, md5(coalesce(string_agg(text, chr(10) order by page) filter (regexp_matches(text, '\\S')), '')) as digest, coalesce(string_agg('p' || page::varchar || ':' || verdict, ',' order by page) filter (not starts_with(verdict, 'ok')), '') as caught from j group by 1""".replace("\\\\", "\\"))
+def page_texts(spark, d):
+    from ..operators import pages
+
+    r = pages.reassembled(_judged_pages(spark, d), ["doc_id"])
+    return r.select("doc_id", F.col("pages").cast("long").alias("pages"), F.md5(F.encode("text", "utf-8")).alias("digest"), F.regexp_replace(F.array_join("caught", ","), r"-\d\.\d\d", "").alias("caught"))
+
+
+def _answers(spark, d):
+    """Turns are answers to the request that a conversation and a role make; every third one failed."""
+    c = _t(spark, d, "conversations")
+    bad = F.col("turn") % 3 == 0
+    return c.select(F.concat_ws("/", F.col("conv_id").cast("string"), "role").alias("request_id"), F.when(~bad, F.col("text")).alias("response"), F.when(bad, "TimeoutError: slow").alias("error"), F.col("turn").cast("long").alias("asked_at"))
+
+
+_BEST_ANSWERS = "select * from (select conv_id::varchar || '/' || role as request_id, case when turn % 3 <> 0 then text end as response, turn % 3 = 0 as failed, turn as asked_at, row_number() over (partition by conv_id, role order by turn % 3 = 0, turn desc) as r from conversations) where r = 1"
+
+
+@query(f"select request_id, length(response) as chars, failed, asked_at from ({_BEST_ANSWERS})")
+def best_answers(spark, d):
+    from ..sources import completions
+
+    return completions.best_answers(_answers(spark, d)).select("request_id", F.length("response").cast("long").alias("chars"), F.col("error").isNotNull().alias("failed"), F.col("asked_at").cast("int").alias("asked_at"))
+
+
+@query(f"select c.conv_id::varchar || '/' || r.role as request_id from (select distinct conv_id from conversations) c, (values ('user'), ('assistant'), ('system')) r(role) where c.conv_id::varchar || '/' || r.role not in (select request_id from ({_BEST_ANSWERS}) where not failed)")
+def pending_requests(spark, d):
+    from ..sources import completions
+
+    roles = F.explode(F.array(*map(F.lit, ("user", "assistant", "system"))))
+    asked = _t(spark, d, "conversations").select("conv_id").distinct().select(F.col("conv_id").cast("string").alias("conv_id"), roles.alias("role"))
+    return completions.pending(asked.select(F.concat_ws("/", "conv_id", "role").alias("request_id")), completions.best_answers(_answers(spark, d)))
+
+
+@query(f"""
+with v as ({SQL['quality_checks']}), n as (select unnest(['verbatim', 'inside body', 'not empty', 'known parameter', 'verdict']) as "check"),
+e as (select "check", string_agg(row, ', ' order by row) as examples from (select "check", case_id || '/' || param_id as row, row_number() over (partition by "check" order by case_id || '/' || param_id) as r from v) where r <= 4 group by 1)
+select n."check", count(v.case_id) as violations, count(v.case_id) = 0 as ok, coalesce(any_value(e.examples), '') as examples from n left join v using ("check") left join e using ("check") group by 1""")
+def gate_report(spark, d):
+    from . import gate
+
+    found = quality_checks(spark, d).withColumn("detail", F.lit(""))
+    return gate.report(found, ["verbatim", "inside body", "not empty", "known parameter", "verdict"]).select("check", "violations", "ok", F.array_join("examples", ", ").alias("examples"))
+
+
 # ------------------------------------------------------------------ not expressible in SQL
 
 @query()
