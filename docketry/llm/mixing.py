@@ -171,21 +171,46 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    """The same turns and the same ends of them as recursive tables: a row is a cell in a turn."""
     topic = "case " + " ".join(f"when contains(coalesce(text, ''), '{mark}') then '{name}'" for name, mark in TOPICS) + " else 'prose' end"
-    steps, at = [], "c0"
-    for k, m in enumerate(m for _ in range(6) for m in MARGINALS):
-        steps.append(f"r{k} as (select * replace (x * t_{m} / nullif(sum(x) over (partition by {m}), 0) as x) from {at})")
-        at = f"r{k}"
     wants = ", ".join(f"pow(sum(tokens) over (partition by {m}), {TEMPER}) as w_{m}, count(*) over (partition by {m}) as n_{m}" for m in MARGINALS)
-    shares = ", ".join(f"w_{m} / sum(w_{m} / n_{m}) over () as t_{m}" for m in MARGINALS)
+    shares = ", ".join(f"coalesce(w_{m} / nullif(sum(w_{m} / n_{m}) over (), 0), 0) as t_{m}" for m in MARGINALS)
+    goals = ", ".join(f"t_{m} * sum(tokens) over () as a_{m}" for m in MARGINALS)
+
+    def turns(name: str, start: str, now: str, want: str, most: int) -> str:
+        """A recursive table of turns over the marginals; every fourth one says how far off they are and whether that was the last."""
+        step = f"(select * from {name} where not done)"
+        for m in MARGINALS:
+            x = f"x * {want}_{m} / sum({now}) over (partition by {m})"
+            step = f"(select * replace (case when sum({now}) over (partition by {m}) > 0 then {x if now == 'x' else f'least({x}, 1e200)'} else 0 end as x) from {step})"
+            step = step if now == "x" else f"(select * replace (least(x, tokens) as y) from {step})"
+        off = "greatest(" + ", ".join(f"abs(sum({now}) over (partition by {m}) - {want}_{m})" for m in MARGINALS) + ")"
+        step = f"(select *, max(d) over () / sum(tokens) over () as now_off from (select *, {off} as d from {step}))"
+        check = "turn % 4 = 3"
+        return f"""{name} as (select *, 0 as turn, 'inf'::double as off, false as done from {start}
+union all select * exclude (now_off, d) replace (turn + 1 as turn, case when {check} then now_off else off end as off, case when {check} then now_off <= {CLOSE}::double or now_off > {NEARER}::double * off or turn + 1 >= {most} else false end as done) from {step})"""
+
+    def feasible(m: str) -> str:
+        """The tokens wanted of each value of a marginal, none more than there are."""
+        order = f"order by has / t, {m}"
+        return f"""p_{m} as (select * from (select *, {SHARE}::double * sum(has) over () as total from (select {m}, sum(tokens) as has, any_value(t_{m}) as t from y0 group by 1)) where has > 0 and t > 0),
+l_{m} as (select *, (total - coalesce(sum(has) over ({order} rows between unbounded preceding and 1 preceding), 0)) / sum(t) over ({order} rows between current row and unbounded following) as level from p_{m}),
+f_{m} as (select {m}, case when level * t >= has then has else max(case when level * t < has then level end) over () * t end as w_{m} from l_{m})"""
+
     return f"""
-with d as (select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang, {topic} as topic, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+'))::bigint as n_tokens from documents),
+with recursive d as (select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang, {topic} as topic, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+'))::bigint as n_tokens from documents where doc_id is not null),
 cells as (select source, lang, topic, sum(n_tokens)::double as tokens from d group by 1, 2, 3),
 w as (select *, {wants} from cells),
 c0 as (select source, lang, topic, tokens, tokens as x, {shares} from w),
-{", ".join(steps)},
-f as (select source, lang, topic, coalesce(least(1, {SHARE} * (coalesce(x, 0) / sum(coalesce(x, 0)) over () * sum(tokens) over ()) / nullif(tokens, 0)), 0) as rate from {at})
-select doc_id, source, lang, topic, n_tokens, round(rate, 6) as rate, (('0x' || md5(doc_id::varchar)[1:8])::ubigint / 4294967296.0) < rate as sampled from d join f using (source, lang, topic)"""
+c1 as (select *, {goals} from c0),
+{turns("r", "c1", "x", "a", 4 * MOST)},
+y0 as (select source, lang, topic, tokens, x, least(x, tokens) as y, {", ".join(f"t_{m}" for m in MARGINALS)} from (select * replace ({SHARE}::double * coalesce(x / nullif(sum(x) over (), 0) * sum(tokens) over (), 0) as x) from r where turn = (select max(turn) from r))),
+{", ".join(feasible(m) for m in MARGINALS)},
+s0 as (select y0.*, {", ".join(f"coalesce(w_{m}, 0) as w_{m}" for m in MARGINALS)} from y0 {" ".join(f"left join f_{m} using ({m})" for m in MARGINALS)} where (select count(*) from y0 where x > tokens) > 0),
+{turns("s", "s0", "y", "w", 4 * MOST)},
+y as (select source, lang, topic, tokens, y from y0 where (select count(*) from s0) = 0 union all select source, lang, topic, tokens, y from s where turn = (select max(turn) from s)),
+f as (select source, lang, topic, coalesce(least(1, y / nullif(tokens, 0)), 0) as rate from y)
+select doc_id, source, lang, topic, n_tokens, round(rate, 6) as rate, (('0x' || md5(doc_id::varchar)[1:8])::ubigint / 4294967296.0::double) < rate as sampled from d join f using (source, lang, topic)"""
 
 
 ORACLE_SQL = _sql()
