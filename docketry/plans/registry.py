@@ -84,7 +84,7 @@ def case_key_dedup(spark, d):
 
 # ------------------------------------------------------------------ text routing
 
-@query(r"select doc_id, n, n > 0.02 * greatest(1, length(text)) as garbled from (select doc_id, text, length(text) - length(regexp_replace(text, '[\x00-\x08\x0b\x0e-\x1f\x7f]', '', 'g')) as n from (select doc_id, case when doc_id % 5 = 0 then repeat(chr(1), (doc_id % 40)::int) || substr(text, 1, 300) else text end as text from documents))")
+@query(r"select doc_id, n, n > 0.02 * greatest(1, length(text)) as garbled from (select doc_id, text, length(text) - length(regexp_replace(text, '[\x00-\x08\x0b\x0e-\x1f\x7f]', '', 'g')) as n from (select doc_id, case when doc_id % 5 = 0 then repeat(chr(1), (doc_id % 40)::int) || text else text end as text from documents))")
 def garbled_flag(spark, d):
     t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.repeat(F.lit("\x01"), (F.col("doc_id") % 40).cast("int")), "text")).otherwise(F.col("text"))
     return _t(spark, d, "documents").select("doc_id", t.alias("text")).select("doc_id", X.count_class("text", V.CONTROL).cast("long").alias("n"), X.garbled("text").alias("garbled"))
@@ -257,7 +257,7 @@ def grounding_5gram(spark, d):
 
 
 @query(f"""
-with p as (select a.doc_id, a.text as m, b.text as w from documents a join documents b on b.doc_id = a.doc_id + 11 and b.source <> a.source),
+with p as (select a.doc_id, a.text as m, b.text as w from documents a join documents b on b.doc_id = a.doc_id + 11),
 ra as ({_runs('doc_id', 'p', 3, 'm')}), rb as ({_runs('doc_id', 'p', 3, 'w')}),
 o as (select ra.doc_id, count(rb.run) / count(*) as ov from ra left join rb using (doc_id, run) group by 1),
 q as (select doc_id, m, w, coalesce(ov, 1) as ov, length(regexp_replace(m, '^\\s+|\\s+$', '', 'g')) as lm, length(regexp_replace(w, '^\\s+|\\s+$', '', 'g')) as lw from p left join o using (doc_id))

@@ -6,6 +6,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +39,13 @@ def notice(spark):
     return spark.createDataFrame([("c1", "n.pdf", NOTICE), ("c2", "m.pdf", "nothing here\n"), ("c3", "o.pdf", "")], "case_id string, file string, text string")
 
 
+def twin(name, folder, columns):
+    """Rows of a query's SQL over the documents in a folder."""
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    return con.sql(f"select {columns} from ({registry.oracle_sql()[name]})").fetchall()
+
+
 def heads(spark, *lines, **options):
     d = spark.createDataFrame([("k", "\n".join(lines))], "case_id string, text string")
     return [(r["i"], r["width"], r["id"]) for r in segment.headings(segment.split_lines(d), **options).orderBy("i").collect()]
@@ -118,6 +126,7 @@ def test_garbled_query_judges_whole_texts(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: (r["n"], r["garbled"]) for r in registry.queries()["garbled_flag"](spark, str(tmp_path)).collect()}
     assert got == {5: (55, True), 6: (50, True), 40: (0, False)}
+    assert {r[0]: r[1:] for r in twin("garbled_flag", tmp_path, "doc_id, n, garbled")} == got
 
 
 def test_figures_and_containment(spark):
@@ -151,6 +160,7 @@ def test_page_judge_query_judges_every_document_with_a_partner(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     got = registry.queries()["page_judge_3gram"](spark, str(tmp_path)).collect()
     assert sorted(r["doc_id"] for r in got) == list(range(14)) and {r["verdict"] for r in got} == {"ok"}
+    assert sorted(twin("page_judge_3gram", tmp_path, "doc_id, verdict, chars")) == sorted((r["doc_id"], r["verdict"], r["chars"]) for r in got)
 
 
 def test_grounding(spark):
