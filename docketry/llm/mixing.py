@@ -154,7 +154,7 @@ def mixture(docs: DataFrame, targets=None, share: float = SHARE, topic: F.Column
     """One row per row of docs (doc_id, text, lang, source): n_tokens, rate, sampled and the marks.
 
     The rate is drawn / present tokens of the cell (see drawn). Texts without words
-    have no tokens to weigh: a cell of only such texts has the rate 0. Rows without a doc_id
+    have no tokens to weigh: a cell of only such texts has the rate 1, as they change no weight. Rows without a doc_id
     are left out; rows with the same doc_id are drawn alike. An empty table gives no rows.
     """
     return _rated(weighed(docs, topic=topic), targets, share).select("doc_id", *MARGINALS, "n_tokens", "rate", "sampled")
