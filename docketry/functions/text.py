@@ -104,15 +104,16 @@ def transform_digits(c) -> Column:
 
 
 def words(c) -> Column:
-    return F.regexp_extract_all(F.lower(col(c)), F.lit("[a-z0-9]+"), F.lit(0))
+    """Runs of a-z and 0-9 in lower case: what stands between the other characters."""
+    return F.array_remove(F.split(F.lower(col(c)), "[^a-z0-9]+", -1), "")
 
 
 def shingles(c, n: int = V.GROUND_WORDS) -> Column:
-    """Distinct runs of n words, each as one string; none below n words."""
+    """Distinct runs of n words, each by its 64-bit hash; none below n words."""
 
     def runs(w):
-        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " ")))
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)])))
 
     return let(words(c), runs)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -59,16 +59,34 @@ def verified(text, tables, source) -> Column:
     return F.struct(bad.alias("bad_figures"), ground.alias("ground"), F.bround(X.overlap(payload_text(F.lit(""), tables), source), 3).alias("table_ground"), ((F.size(bad) == 0) & (ground >= V.MIN_GROUND)).alias("verified"))
 
 
+#: Parts into which the sources of every run are dealt, so that a run that most of them have is no task of its own.
+RUN_PARTS = 8
+
+
 def grounding_join(claims: DataFrame, sources: DataFrame, claim: str, source: str, n: int = V.GROUND_WORDS, least: float = V.MIN_GROUND, broadcast_rows: int = 1_000_000) -> DataFrame:
     """(claim, source, ground) of every pair of texts with at least this share of the claim's word runs in the source.
 
-    Claims' runs are broadcast while they are few, else both sides are shuffled by run.
+    A source with the share `least` of a claim's k runs misses at most k - ceil(least * k) of
+    them, so among that many runs and one more it has one: the claim's rarest runs name the
+    candidates, and only for these all runs are counted. Rows with the same id count as one text. Runs travel as 64-bit hashes, texts
+    not at all. Claims' runs are broadcast while they are few, else joined by run and part.
     """
-    c = claims.select(claim, F.explode(X.shingles("text", n)).alias("run"))
-    total = c.groupBy(claim).agg(F.count("*").alias("total"))
-    s = sources.select(source, F.explode(X.shingles("text", n)).alias("run"))
-    side = F.broadcast(c) if c.count() <= broadcast_rows else c
-    hit = s.join(side, "run").groupBy(claim, source).agg(F.count("*").alias("hit")).join(total, claim)
+    c = claims.select(claim, F.explode(X.shingles("text", n)).alias("run")).distinct().persist()
+    part = F.pmod(F.xxhash64(F.col(source)), F.lit(RUN_PARTS)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(RUN_PARTS - 1)))
+    few = c.count() <= broadcast_rows
+    s = sources.select(source, part.alias("part"), F.explode(X.shingles("text", n)).alias("run"))
+    known = c.select("run").distinct()
+    hits = s.join(F.broadcast(known), "run", "left_semi") if few else s.join(known.withColumn("part", parts), ["run", "part"], "left_semi")
+    hits = hits.distinct().persist()  # what sources have of any claim
+    spread = c.join(hits.groupBy("run").agg(F.count("*").alias("held")), "run", "left").na.fill(0, ["held"])
+    by_claim = Window.partitionBy(claim)
+    spread = spread.withColumns({"k": F.row_number().over(by_claim.orderBy("held", "run")), "total": F.count("*").over(by_claim)})
+    needed = F.ceil(F.lit(least) * F.col("total") - F.lit(1e-9))
+    rare = spread.where((F.col("held") > 0) & (F.col("k") <= F.col("total") - needed + 1))
+    named = hits.join(rare.select(claim, "run", parts.alias("part")), ["run", "part"]).select(claim, source).distinct()
+    hit = named.join(spread.select(claim, "run", "total"), claim).join(hits.select(source, "run"), [source, "run"])
+    hit = hit.groupBy(claim, source).agg(F.count("*").alias("hit"), F.first("total").alias("total"))
     return hit.select(claim, source, (F.col("hit") / F.col("total")).alias("ground")).where(F.col("ground") >= least)
 
 
