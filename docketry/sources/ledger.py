@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 import uuid
 
@@ -42,13 +43,33 @@ def stamp() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
+def _write(fs, p, record: dict) -> None:
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(record).encode()))
+    out.close()
+
+
+def claim(spark: SparkSession, folder: str, name: str, record: dict) -> bool:
+    """Add a record under this name unless another writer has; whether it is ours. Of any number of writers one has it."""
+    fs, part = _at(spark, f"{folder}/.{name}-{stamp()}")
+    target = _at(spark, f"{folder}/{name}")[1]
+    _write(fs, part, record)
+    try:
+        if fs.getScheme() == "file":  # a rename would replace there, a link does not
+            os.link(part.toUri().getPath(), target.toUri().getPath())
+            return True
+        return not fs.exists(target) and fs.rename(part, target)
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(part, False)
+
+
 def put(spark: SparkSession, folder: str, record: dict) -> str:
     """Add a record to a folder; returns its name. Records are never changed, so writers cannot harm each other."""
     name = f"{stamp()}.json"
     fs, part = _at(spark, f"{folder}/.{name}")
-    out = fs.create(part, True)
-    out.write(bytearray(json.dumps(record).encode()))
-    out.close()
+    _write(fs, part, record)
     if not fs.rename(part, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, name)):
         raise OSError(f"cannot name {folder}/{name}")
     return name

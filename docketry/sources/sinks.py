@@ -2,40 +2,87 @@
 
 from __future__ import annotations
 
-import uuid
+import json
+import time
 import zipfile
 from collections.abc import Iterable
 from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..operators.resolve import upsert
+from . import ledger
 
 
-def merge_table(new: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Upsert into the latest version under path and write it as the next one; returns it.
+#: Parts of a merged table, by a hash of its keys; a table keeps the number that it began with.
+PARTS = 64
+_PART = "__part"
 
-    A version is a folder of its own, so a run that dies leaves the last one whole.
+
+def _manifest(spark, path: str) -> tuple[int, dict]:
+    """(version, record) of the latest manifest: which folder holds each part. (-1, {}) before the first."""
+    found = ledger.records(spark, f"{path}/manifest")
+    return len(found) - 1, found[-1] if found else {}
+
+
+def _read(spark, path: str, record: dict, parts=None) -> DataFrame:
+    """Rows of some parts of a table, or of all."""
+    folders = [f"{path}/{f}" for k, f in sorted(record["held"].items()) if parts is None or k in parts]
+    schema = T.StructType.fromJson(json.loads(record["schema"]))
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def merge_table(new: DataFrame, path: str, keys: list[str], parts: int = PARTS) -> DataFrame:
+    """Upsert rows into the table under path, rewriting only the parts that they fall into; returns the table.
+
+    New rows replace those with the same keys; others stay. Columns that either side lacks are
+    null there. A version is a manifest that names a folder for each part, and is there at once
+    or not at all: a run that dies leaves the last one whole. A writer that finds its version
+    taken by another merges again on top of that one, so neither loses rows.
     """
     spark = new.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))) if fs.exists(root) else []
-    merged = upsert(spark.read.parquet(f"{path}/{versions[-1]}"), new, keys) if versions else new
-    target = f"{path}/v{len(versions):06d}-{uuid.uuid4().hex[:8]}"
-    merged.write.parquet(target)
-    return spark.read.parquet(target)
+    record = _manifest(spark, path)[1]
+    parts = record.get("parts", parts)
+    staged = f"{path}/staged/{ledger.stamp()}"
+    new.withColumn(_PART, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(parts)).cast("int")).repartition(_PART).write.partitionBy(_PART).parquet(staged)
+    touched = {n.partition("=")[2] for n in ledger.names(spark, staged) if n.startswith(f"{_PART}=")}
+    rows = spark.read.schema(T.StructType([*new.schema.fields, T.StructField(_PART, T.IntegerType())])).parquet(staged) if touched else new.limit(0).withColumn(_PART, F.lit(0))
+    try:
+        while True:
+            version, record = _manifest(spark, path)
+            held = dict(record.get("held", {}))
+            merged = rows
+            if record:
+                merged = upsert(_read(spark, path, record, touched), rows.drop(_PART), keys)
+                merged = merged.withColumn(_PART, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(parts)).cast("int"))
+            if record and not touched:
+                break
+            data = f"data/{ledger.stamp()}"
+            merged.repartition(_PART).write.partitionBy(_PART).parquet(f"{path}/{data}")
+            held |= {k: f"{data}/{_PART}={k}" for k in touched}
+            if ledger.claim(spark, f"{path}/manifest", f"{version + 1:08d}.json", {"parts": parts, "held": held, "schema": merged.drop(_PART).schema.json()}):
+                break
+            ledger.remove(spark, f"{path}/{data}")
+    finally:
+        ledger.remove(spark, staged)
+    return read_table(spark, path)
 
 
 def read_table(spark, path: str) -> DataFrame:
-    """The latest whole version of a merged table."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    return spark.read.parquet(f"{path}/{versions[-1]}")
+    """The latest version of a merged table."""
+    return _read(spark, path, _manifest(spark, path)[1])
+
+
+def sweep_table(spark, path: str, lease: float = 86_400) -> list[str]:
+    """Remove the folders that the latest version does not use and that are older than the lease in seconds, in which readers of older versions end."""
+    used = {f.rpartition("/")[0] for f in _manifest(spark, path)[1].get("held", {}).values()}
+    old = [f"data/{n}" for n in ledger.names(spark, f"{path}/data") if f"data/{n}" not in used and int(n.partition("-")[0]) / 1e9 < time.time() - lease]
+    for f in old:
+        ledger.remove(spark, f"{path}/{f}")
+    return old
 
 
 _HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
