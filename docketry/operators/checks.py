@@ -18,13 +18,33 @@ def _bad(frame: DataFrame, name: str, detail=None) -> DataFrame:
 
 def notice_checks(sections: DataFrame, docs: DataFrame, notices: DataFrame, reported=V.REPORTED) -> DataFrame:
     """Sections are verbatim, inside the body, not empty, and of the vocabulary."""
-    s = sections.join(docs.select("case_id", F.col("text").alias("doc")), "case_id").join(notices.select("case_id", "body_end"), "case_id")
-    out = _bad(s.where(~F.contains(X.squash_space("doc"), X.squash_space("text"))), "verbatim")
+    s = sections.join(notices.select("case_id", "body_end"), "case_id")
+    out = _bad(unprinted(sections, docs), "verbatim")
     out = out.union(_bad(s.where("start_line > body_end or end_line > body_end"), "inside body", F.col("start_line")))
     out = out.union(_bad(s.where(X.strip("text") == ""), "not empty"))
     return out.union(_bad(sections.where(~F.col("param_id").isin(list(reported))), "known parameter"))
 
 
+def unprinted(sections: DataFrame, docs: DataFrame) -> DataFrame:
+    """Sections whose text, white space aside, does not stand in their document.
+
+    A document meets all its sections at once. Each is looked for among its own lines; the
+    whole document is searched, once, only for those that are not there.
+    """
+    own = sections.groupBy("case_id").agg(F.collect_list(F.struct("param_id", "text", "start_line", "end_line")).alias("s"))
+    both = own.join(docs.select("case_id", F.col("text").alias("doc")), "case_id")
+
+    def among(ls):
+        def lines(x):
+            return F.array_join(F.slice(ls, F.greatest(x["start_line"], F.lit(1)), F.greatest(x["end_line"] - F.greatest(x["start_line"], F.lit(1)) + 1, F.lit(0))), "\n")
+
+        return F.filter("s", lambda x: ~F.contains(X.squash_space(lines(x)), X.squash_space(x["text"])))
+
+    both = both.select("case_id", "doc", X.let(X.lines("doc"), among).alias("s")).where(F.size("s") > 0)
+    both = both.select("case_id", X.let(X.squash_space("doc"), lambda whole: F.filter("s", lambda x: ~F.contains(whole, X.squash_space(x["text"])))).alias("s"))
+    return both.select("case_id", F.explode("s").alias("x")).select("case_id", "x.param_id")
+
+
 def repair_checks(repairs: DataFrame) -> DataFrame:
     used = repairs.where("verified")
     out = _bad(used.where(F.size("bad_figures") > 0), "repair figures", F.array_join("bad_figures", ","))

@@ -217,7 +217,7 @@ def run_folder(spark: SparkSession, root: str, work: str, workbook: str, adapter
     book = ledger.records(spark, f"{work}/ledger/workbook")
     source = f"{workbook}|{s.digests['register']}|{notice_only}"
     if not book or book[-1]["source"] != source or not ledger.exists(spark, workbook):
-        sinks.register_workbook(register, contents, workbook, notice_only)
+        sinks.register_workbook(register, contents, workbook, notice_only, f"{work}/sheets")
         ledger.put(spark, f"{work}/ledger/workbook", {"source": source, "path": workbook})
         s.ran.append("workbook")
 

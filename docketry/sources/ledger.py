@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,21 @@ def whole(spark: SparkSession, folder: str) -> list[str]:
     return [f"{folder}/{n}" for n in names(spark, folder) if fs.exists(path(p, f"{n}/_SUCCESS"))]
 
 
+def chunks(path: str, size: int = 1 << 20) -> Iterator[bytes]:
+    """The content of a file, piece by piece."""
+    if path.startswith("file:") or "://" not in path:
+        with open(re.sub("^file:/*", "/", path), "rb") as f:
+            while piece := f.read(size):
+                yield piece
+        return
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(inner) as f:
+        while piece := f.read(size):
+            yield piece
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _at(spark, path)
     return fs.exists(p)

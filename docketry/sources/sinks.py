@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterable
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,7 +100,7 @@ def _column(k: int) -> str:
 def write_workbook(path: str, sheets: list[tuple[str, list[str], list[int], Iterable]]) -> None:
     """An .xlsx of (name, headers, widths, rows): rows are taken one at a time, so a sheet may be an iterator.
 
-    A row is a list of cells, or such a list and the height of the row.
+    A row is a list of cells, or such a list and the height of the row, or a piece of finished XML.
     """
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         types = "".join(f'<Override PartName="/xl/worksheets/sheet{k + 1}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for k in range(len(sheets)))
@@ -115,7 +115,7 @@ def write_workbook(path: str, sheets: list[tuple[str, list[str], list[int], Iter
                 f.write(f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews><cols>{cols}</cols><sheetData>'.encode())
                 f.write(_row(1, headers, 1))
                 for r, row in enumerate(rows, 2):
-                    f.write(_row(r, row, 0))
+                    f.write(row if isinstance(row, bytes) else _row(r, row, 0))
                 f.write(b"</sheetData></worksheet>")
 
 
@@ -132,8 +132,12 @@ def _row(r: int, cells, style: int) -> bytes:
     return f'<row r="{r}"{tall}>{"".join(out)}</row>'.encode()
 
 
-def register_workbook(register_: DataFrame, contents: DataFrame, path: str, notice_only: bool = False) -> None:
-    """The contents and a sheet for every parameter, also those that no case raised; rows stream through the driver."""
+def register_workbook(register_: DataFrame, contents: DataFrame, path: str, notice_only: bool = False, parts: str | None = None) -> None:
+    """The contents and a sheet for every parameter, also those that no case raised.
+
+    Executors write the rows of each sheet as XML under parts (a shared folder; beside the
+    workbook if none is given), the driver only puts these files into the archive.
+    """
     from ..operators.register import sheet
 
     names = ["notice"] if notice_only else ["notice", "reply", "finding"]
@@ -142,13 +146,30 @@ def register_workbook(register_: DataFrame, contents: DataFrame, path: str, noti
     index = contents.orderBy("position").collect()  # a row per parameter
     total = ["", "Total", *[sum(r[c] for r in index) for c in ("companies", "replies", "no_reply", "findings", "no_finding")]]
     front = ("Contents", ["Sheet", "Parameter", "Companies", "Replies", "No reply", "Findings", "No finding"], [30, 60, 12, 12, 12, 12, 12], [*[[r["sheet"], r["title"], r["companies"], r["replies"], r["no_reply"], r["findings"], r["no_finding"]] for r in index], total])
-    pages = sheet(register_, notice_only).withColumn("height", X.row_height(names, widths[2:])).persist()  # computed once for all sheets
+    pages = sheet(register_, notice_only).withColumn("height", X.row_height(names, widths[2:]))
+    scratch = f"{parts or path + '.parts'}/{ledger.stamp()}"
+    row_xml(pages, ["case_id", "trade_name", *names]).repartition("param_id").sortWithinPartitions("param_id", "r").select("param_id", "xml").write.partitionBy("param_id").text(scratch)
 
     def rows(pid):
-        for r in pages.where(pages["param_id"] == pid).toLocalIterator():
-            yield [r["case_id"], r["trade_name"], *[r[n] for n in names]], r["height"]
+        folder = f"{scratch}/param_id={pid}"
+        for name in ledger.names(register_.sparkSession, folder):
+            if not name.startswith(("_", ".")):
+                yield from ledger.chunks(f"{folder}/{name}")
 
     try:
         write_workbook(path, [front, *[(r["sheet"], headers, widths, rows(r["param_id"])) for r in index]])
     finally:
-        pages.unpersist()
+        ledger.remove(register_.sparkSession, scratch if parts else f"{path}.parts")
+
+
+def row_xml(pages: DataFrame, names: list[str]) -> DataFrame:
+    """(param_id, r, xml) of the rows of sheets (param_id, case_id, ..., height): rows of a sheet count from 2, below its headers."""
+    def cell(name: str, k: int):
+        words = F.coalesce(F.col(name), F.lit(""))
+        for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            words = F.replace(words, F.lit(sign), F.lit(entity))
+        return F.concat(F.lit(f'<c r="{_column(k)}'), F.col("r").cast("string"), F.lit('" s="0" t="inlineStr"><is><t xml:space="preserve">'), words, F.lit("</t></is></c>"))
+
+    numbered = pages.withColumn("r", F.row_number().over(Window.partitionBy("param_id").orderBy("case_id")) + 1)  # a sheet holds 1,048,576 rows at most
+    head = F.concat(F.lit('<row r="'), F.col("r").cast("string"), F.lit('" ht="'), F.col("height").cast("string"), F.lit('" customHeight="1">'))
+    return numbered.select("param_id", "r", F.concat(head, *[cell(n, k) for k, n in enumerate(names)], F.lit("</row>")).alias("xml"))
