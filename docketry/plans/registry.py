@@ -161,6 +161,58 @@ def heading_match(spark, d):
     return _heads(spark, d).select("doc_id", F.col("i").cast("long").alias("i"), "id")
 
 
+_ONE = f"select sq, row_number() over (order by c desc, sq) as k from (select regexp_replace(lower(line), '[^a-z0-9]', '', 'g') as sq, count(*) as c from ({_LINES}) group by 1) where length(sq) >= 6"
+_NEXT = f"select *, lead(line) over (partition by doc_id order by i) as line1, lead(line, 2) over (partition by doc_id order by i) as line2 from ({_LINES})"
+_TWO = f"select sq, row_number() over (order by c desc, sq) as k from (select a || b as sq, count(*) as c from (select regexp_replace(lower(line), '[^a-z0-9]', '', 'g') as a, regexp_replace(lower(line1), '[^a-z0-9]', '', 'g') as b from ({_NEXT})) where length(a) >= 6 and length(b) >= 6 and length(a) + length(b) <= 150 group by 1)"
+_VOCAB2 = f"select sq as key, 'H' || r::varchar as id, r from (select sq, row_number() over (order by length(sq) desc, sq) as r from (select sq from ({_ONE}) where k <= 8 union select sq from ({_TWO}) where k <= 8))"
+
+
+def _wrapped_vocabulary(spark, d) -> list[tuple[str, str]]:
+    """The eight most repeated lines and the eight most repeated pairs of lines, longest first."""
+    pair = segment.split_lines(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", ahead=1).select(X.squash("line").alias("a"), X.squash("next1").alias("b"))
+    pair = pair.where("length(a) >= 6 and length(b) >= 6 and length(a) + length(b) <= 150").select(F.concat("a", "b").alias("sq"))
+    one = _lines(spark, d).select(X.squash("line").alias("sq")).where(F.length("sq") >= 6)
+    top = {r["sq"] for f in (one, pair) for r in f.groupBy("sq").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), "sq").limit(8).collect()}
+    return [(k, f"H{r}") for r, k in enumerate(sorted(top, key=lambda k: (-len(k), k)), 1)]
+
+
+def _spans() -> str:
+    """The spans of one to three lines, each whole and up to a colon."""
+    strip = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    raw = [f"regexp_replace({s}, '(?i){V.PREFIX}', '')" for s in (strip("line"), f"{strip('line')} || ' ' || {strip('line1')}", f"{strip('line')} || ' ' || {strip('line1')} || ' ' || {strip('line2')}")]
+    squash = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]', '', 'g')"
+    sq = [x for r in raw for x in (squash(r), f"case when contains({r}, ':') then {squash(f"string_split({r}, ':')[1]")} end")]
+    return f"select doc_id, i, unnest([0, 0, 1, 1, 2, 2]) as w, unnest([0, 1, 0, 1, 0, 1]) as c, unnest([{', '.join(sq)}]) as sq from ({_NEXT}) where {squash(raw[0].replace(strip('line'), 'line'))} <> ''"
+
+
+def _wrapped(compat: bool) -> str:
+    wide = "" if compat else "when id0 is not null and id0 not in ('H1', 'H3', 'H5', 'H7', 'H9', 'H11') and coalesce(wide1, wide2) is not null then coalesce(wide1, wide2)"
+    return f"""
+with s as ({_spans()}), v as ({_VOCAB2}),
+m as (select doc_id, i, w, arg_min(id, c * 1000 + r) as id from s join v on length(sq) between 1 and 200 and instr(sq, key) between 1 and 5 and length(sq) - length(key) - instr(sq, key) + 1 <= 12 group by 1, 2, 3),
+p as (select doc_id, i, max(case when w = 0 then id end) as id0, max(case when w = 1 then id end) as id1, max(case when w = 2 then id end) as id2 from m group by 1, 2),
+q as (select *, case when id1 in ('H1', 'H3', 'H5', 'H7', 'H9', 'H11') then struct_pack(id := id1, width := 2) end as wide1, case when id2 in ('H1', 'H3', 'H5', 'H7', 'H9', 'H11') then struct_pack(id := id2, width := 3) end as wide2 from p),
+x as (select doc_id, i, case {wide} when id0 is not null then struct_pack(id := id0, width := 1) when id1 is not null then struct_pack(id := id1, width := 2) else struct_pack(id := id2, width := 3) end as h from q)
+select doc_id, i, h.width as width, h.id as id from x"""
+
+
+def _wrapped_heads(spark, d, compat):
+    lines = segment.split_lines(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", ahead=2)
+    found = segment.headings(lines, "doc_id", _wrapped_vocabulary(spark, d), wrap=3, fuzzy=False, compat=compat, reported=[f"H{k}" for k in range(1, 12, 2)])
+    return found.select("doc_id", F.col("i").cast("long").alias("i"), "width", "id")
+
+
+@query(_wrapped(False))
+def heading_wrapped(spark, d):
+    """Headings over up to three lines; a reported one over several lines wins over a boundary on the first."""
+    return _wrapped_heads(spark, d, False)
+
+
+@query(_wrapped(True))
+def heading_wrapped_narrowest(spark, d):
+    return _wrapped_heads(spark, d, True)
+
+
 _ENDS = f"select doc_id, any_value(n) as n, coalesce(min(case when regexp_matches(line, '^[A-Z][a-z]+\\.$') then i end), max(case when regexp_matches(line, '^The ') and i > greatest(0, floor(n * 2 / 3)) then i end), any_value(n)) as body_end from ({_LINES}) group by 1".replace("\\\\", "\\")
 
 
