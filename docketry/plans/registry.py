@@ -388,17 +388,28 @@ def json_items(spark, d):
 # ------------------------------------------------------------------ register and checks
 
 _REGISTER = f"""
-select s.doc_id as case_id, s.id as param_id, s.text as notice, coalesce(case when l.quality = 1 then 'Reply of ' || l.doc_id::varchar end, 'No reply') as reply, coalesce(case when l.toxic = 1 then 'confirmed' when l.toxic = 0 then 'dropped' end, 'No finding') as finding
+select s.doc_id as case_id, s.id as param_id, substr(s.text, 1, {V.MAX_CELL}) as notice, coalesce(case when l.quality = 1 then 'Reply of ' || l.doc_id::varchar end, 'No reply') as reply, coalesce(case when l.toxic = 1 then 'confirmed' when l.toxic = 0 then 'dropped' end, 'No finding') as finding
 from ({_SECTIONS}) s left join labels l using (doc_id)"""
 
 
 def _register(spark, d):
-    labels = _t(spark, d, "labels")
-    reply = F.when(F.col("quality") == 1, F.concat(F.lit("Reply of "), F.col("doc_id").cast("string")))
+    """Labels are partial answers: a good document replies, a toxic one is confirmed, another labelled one dropped.
+
+    Cells hold as much as a cell of a workbook does, in the operator and in its SQL.
+    """
+    from ..operators import register as operator
+
+    s = _sections(spark, d).withColumnRenamed("doc_id", "case_id").persist()  # joined four times
+    said = s.select("case_id", "param_id").join(_t(spark, d, "labels").withColumnRenamed("doc_id", "case_id"), "case_id", "left")
+    reply = F.when(F.col("quality") == 1, F.concat(F.lit("Reply of "), F.col("case_id").cast("string")))
     finding = F.when(F.col("toxic") == 1, "confirmed").when(F.col("toxic") == 0, "dropped")
-    answers = labels.select("doc_id", reply.alias("reply"), finding.alias("finding"))
-    r = _sections(spark, d).join(answers, "doc_id", "left")
-    return r.select(F.col("doc_id").alias("case_id"), "param_id", F.col("text").alias("notice"), F.coalesce("reply", F.lit(V.NO_REPLY)).alias("reply"), F.coalesce("finding", F.lit(V.NO_FINDING)).alias("finding"))
+
+    def answers(words):
+        status = F.when(words.isNotNull(), "verified").otherwise("silent")
+        return said.select("case_id", "param_id", status.alias("status"), words.alias("text"), F.lit(None).cast(evidence.TABLES).alias("tables"), F.lit(None).cast("string").alias("fallback_text"))
+
+    notices = s.select("case_id").distinct().withColumn("trade_name", F.lit(""))
+    return operator.register(s, notices, answers(reply), answers(finding)).select("case_id", "param_id", "notice", "reply", "finding")
 
 
 @query(_REGISTER)
