@@ -454,6 +454,27 @@ def test_evenly_edited_passages_are_found(spark):
     assert len(found) >= 57 and sum(r["n_copied"] for r in got) == sum(r["n_passages"] for r in got)
 
 
+def test_edited_passages_whose_pieces_stand_all_around_are_found(spark):
+    rng = random.Random(23)
+    rows, want = [], set()
+    for k in range(30):
+        p = words(rng, 80, 10**6)
+        q = [f"e{rng.randrange(10**9)}" if i % 14 == 13 else w for i, w in enumerate(p)]
+        pieces = [q[i : i + 14] for i in range(0, 80, 14)]
+
+        def strewn():
+            return sum((w + words(rng, 20, 10**6) for w in rng.sample(pieces, len(pieces))), [])
+
+        texts = [strewn() for _ in range(8)] + [words(rng, 30, 10**6) + p] + [strewn() for _ in range(8)] + [q + words(rng, 30, 10**6)]
+        rows += [(18 * k + j, " ".join(t)) for j, t in enumerate(texts)]
+        want.add(18 * k + 17)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in substring_dedup.duplicated(d).collect()}
+    found = [i for i in want if got[i]["dup_words"] >= 75 and f":{i - 9}" in got[i]["spans"]]
+    assert len(found) >= 27, len(found)
+    assert not any(got[i]["n_passages"] for i in got if i not in want)
+
+
 def test_raking_meets_the_targets(spark):
     cells = spark.createDataFrame([(s, lang, t, 100 + 37 * k) for k, (s, lang, t) in enumerate((s, lang, t) for s in "abc" for lang in "xy" for t in "pq")], "source string, lang string, topic string, tokens long")
     want = {"source": {"a": 1.0, "b": 1.0, "c": 2.0}, "lang": {"x": 3.0, "y": 1.0}, "topic": {"p": 1.0, "q": 1.0}}
