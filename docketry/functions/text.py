@@ -20,8 +20,8 @@ def let(value: Column, use) -> Column:
 
 
 def squash(c) -> Column:
-    """Lower case, letters and digits only."""
-    return F.regexp_replace(F.lower(col(c)), "[^a-z0-9]", "")
+    """Lower case, letters and digits only; blanks go first, as they are most of what goes and need no pattern."""
+    return F.regexp_replace(F.replace(F.lower(col(c)), F.lit(" "), F.lit("")), "[^a-z0-9]+", "")
 
 
 def squash_space(c) -> Column:
@@ -40,8 +40,7 @@ def strip_prefix(c) -> Column:
 
 def lines(c) -> Column:
     """The lines of a text; a last empty piece does not count."""
-    parts = F.split(col(c), _BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(col(c), _BREAK, -1), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
 
 
 def count_class(c, klass: str) -> Column:

@@ -137,9 +137,14 @@ def prefix_strip(spark, d):
 _VOCAB = f"select sq as key, 'H' || r::varchar as id, r from (select sq, row_number() over (order by length(sq) desc, sq) as r from (select sq, row_number() over (order by c desc, sq) as k from (select regexp_replace(lower(line), '[^a-z0-9]', '', 'g') as sq, count(*) as c from ({_LINES}) group by 1) where length(sq) >= 6) where k <= 12)"
 
 
+def _squashed_lines(spark, d) -> DataFrame:
+    """(sq): lines of six letters or digits at least, squashed once, before the filter."""
+    return _t(spark, d, "documents").select(F.explode(F.transform(X.lines("text"), X.squash)).alias("sq")).where(F.length("sq") >= 6)
+
+
 def _vocabulary(spark, d) -> list[tuple[str, str]]:
     """The twelve most repeated lines, longest first: a fixed number of short strings."""
-    n = _lines(spark, d).groupBy(X.squash("line").alias("sq")).agg(F.count("*").alias("c")).where(F.length("sq") >= 6)
+    n = _squashed_lines(spark, d).groupBy("sq").agg(F.count("*").alias("c"))
     top = [r["sq"] for r in n.orderBy(F.col("c").desc(), "sq").limit(12).collect()]
     return [(k, f"H{r}") for r, k in enumerate(sorted(top, key=lambda k: (-len(k), k)), 1)]
 
@@ -169,9 +174,10 @@ _VOCAB2 = f"select sq as key, 'H' || r::varchar as id, r from (select sq, row_nu
 
 def _wrapped_vocabulary(spark, d) -> list[tuple[str, str]]:
     """The eight most repeated lines and the eight most repeated pairs of lines, longest first."""
-    pair = segment.split_lines(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", ahead=1).select(X.squash("line").alias("a"), X.squash("next1").alias("b"))
+    sq = _t(spark, d, "documents").select(F.transform(X.lines("text"), X.squash).alias("s"))
+    pair = sq.select(F.explode(F.transform("s", lambda x, i: F.struct(x.alias("a"), F.get("s", i + 1).alias("b")))).alias("p")).select("p.*")
     pair = pair.where("length(a) >= 6 and length(b) >= 6 and length(a) + length(b) <= 150").select(F.concat("a", "b").alias("sq"))
-    one = _lines(spark, d).select(X.squash("line").alias("sq")).where(F.length("sq") >= 6)
+    one = _squashed_lines(spark, d)
     top = {r["sq"] for f in (one, pair) for r in f.groupBy("sq").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), "sq").limit(8).collect()}
     return [(k, f"H{r}") for r, k in enumerate(sorted(top, key=lambda k: (-len(k), k)), 1)]
 
