@@ -54,6 +54,21 @@ def garbled(c) -> Column:
     return count_class(c, V.CONTROL) > V.MAX_CONTROL * F.greatest(F.lit(1), F.length(col(c)))
 
 
+#: The letters outside ASCII that have an ASCII letter as their other case.
+_OTHER_CASE = {"s": "\u017f", "k": "\u212a"}
+
+
+def re2(pattern: str) -> str:
+    """A pattern without regard to case, as Java has to be told it for the matches that RE2 (the SQL twins) finds.
+
+    There a word bound is one of ASCII, so that an accented letter ends a word, and a long s and
+    the Kelvin sign are an s and a k. Takes letters, classes of ranges a-z, groups, counts and \\b only.
+    """
+    bound = r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]))"
+    out = "".join(f"[{c}{_OTHER_CASE[c]}]" if c in _OTHER_CASE else c for c in pattern)
+    return "(?i)" + out.replace("a-z", "a-z" + "".join(_OTHER_CASE.values())).replace(r"\b", bound)
+
+
 def letters(c) -> Column:
     return count_class(c, r"\p{L}")
 
