@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm import decontaminate, jaccard_join, mixing, token_codec, toxicity
-from docketry.llm.common import fresh, named, shared_dir, table
+from docketry.llm.common import cut, fresh, named, shared_dir, table
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    held = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    # ids alone, written first: their size is known then, and few of them are broadcast, so that no text is shuffled
+    held = cut(decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "held")
     return docs.join(held, "doc_id", "left_anti").select(named(docs))
 
 

@@ -21,11 +21,14 @@ BROADCAST_WINDOWS = 500_000
 UNITS = "km|cm|mm|kg|mg|ml|kb|mb|gb|tb|km/h|mph|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|grams?|liters?|litres?|percent|dollars?|euros?|usd|eur|%|€|\\$"
 # _NAME is the SQL twin's pattern of single names; here a run of them is first tied into one word.
 # A capital is looked for first, then what stands before it, as most characters are none.
-_TIE, _TIED = "(\\p{Lu}(?<![^\\s(\"\\[]\\p{Lu})[\\p{L}'-]*)\\s+(?=\\p{Lu})", "\\p{Lu}(?<![^\\s(\"\\[]\\p{Lu})[\\p{L}'-]*(?:\\x1f\\p{Lu}[\\p{L}'-]*)*"
+_TIE, _TIED = "(\\p{Lu}(?<![^\\s(\"\\[]\\p{Lu})[\\p{L}'-]*)\\s+(?=\\p{Lu})", "\\p{Lu}(?<![^\\s(\"\\[]\\p{Lu})[\\p{L}'-]*+(?:\\x1f\\p{Lu}[\\p{L}'-]*+)*+"
 _NAME, _NUMBER, _UNIT = "([\\p{Ll}0-9,;] )\\p{Lu}[\\p{L}'-]*", "(^|[^\\p{L}0-9§])[0-9]+([.,:/][0-9]+)*", f"(§num ?)({UNITS})([^\\p{{L}}]|$)"
 #: Here the longest unit that fits counts (km/h before km); the twin tries them in the order above.
 _LONGEST = _UNIT.replace(UNITS, "|".join(sorted(UNITS.split("|"), key=lambda u: -len(u))))
 _TAIL, _HEAD = '[.,;:!?()"\\[\\]]+(\\s|$)', '(^|\\s)[("\\[]+'
+#: The same matches as those of _NUMBER and _TAIL, but runs are taken whole: Java recurses for each
+#: turn of a group that may give back, and a long list of numbers or names would overflow the stack of a task.
+_NUMBERS, _TAILS = "(^|[^\\p{L}0-9§])[0-9]++(?:[.,:/][0-9]++)*+", '(?<![.,;:!?()"\\[\\]])[.,;:!?()"\\[\\]]++(\\s|$)'
 
 
 def templates(text: F.Column) -> tuple[F.Column, F.Column]:
@@ -34,13 +37,13 @@ def templates(text: F.Column) -> tuple[F.Column, F.Column]:
     figures, openings = text.rlike("[0-9]"), text.rlike('[("\\[]')  # most texts have neither, and passes over them are saved
 
     def words(t):
-        t = F.regexp_replace(t, _TAIL, "$1")
+        t = F.regexp_replace(t, _TAILS, "$1")
         t = F.when(openings, F.regexp_replace(t, _HEAD, "$1")).otherwise(t)
         return F.filter(F.split(F.lower(t), r"\s+"), lambda w: w != "")
 
     tied = F.regexp_replace(text, _TIE, "$1\x1f")
     named = F.regexp_replace(tied, _TIED, "§name")
-    marked = F.when(figures, F.regexp_replace(F.regexp_replace(named, _NUMBER, "$1§num"), _LONGEST, "$1§unit$3")).otherwise(named)
+    marked = F.when(figures, F.regexp_replace(F.regexp_replace(named, _NUMBERS, "$1§num"), _LONGEST, "$1§unit$3")).otherwise(named)
     return words(marked), words(tied)
 
 

@@ -557,6 +557,24 @@ def test_templates_take_the_longest_unit_and_runs_of_names(spark):
     assert all(len(t) == len(w) for t, w in got)
 
 
+def test_long_lists_of_names_and_numbers_are_read(spark):
+    item = "Which river runs through the old town of Vienna and then meets the sea"
+    rows = [(1, "Anna Berta " * 20000 + item), (2, "x " + "1." * 50000 + "1 " + item), (3, ".,;" * 30000 + "x"), (4, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.contamination(docs, bench).collect()} == {1, 2, 4}
+
+
+def test_runs_taken_whole_match_what_the_plain_patterns_match(spark):
+    rng = random.Random(5)
+    rows = [("".join(rng.choice(sign) for _ in range(rng.randint(0, 30))),) for sign in ("1a§ .,:/é", '.,;:!?()"[] x\n', "A\x1fb'- (é", "12. ,") for _ in range(500)]
+    plain = decontaminate._TIED.replace("*+", "*")
+    for old, new in ((decontaminate._NUMBER, decontaminate._NUMBERS), (decontaminate._TAIL, decontaminate._TAILS), (plain, decontaminate._TIED)):
+        mark = "$1#" if old != plain else "#"
+        both = spark.createDataFrame(rows, "t string").select("t", F.regexp_replace("t", old, mark).alias("a"), F.regexp_replace("t", new, mark).alias("b"))
+        assert not both.where("a <> b").collect() and both.where("a <> t").count() > 100
+
+
 def test_learning_equals_a_plain_learner(spark):
     rng = random.Random(19)
     rows = [(np.array(sorted({0, *(rng.randrange(1, 40) for _ in range(rng.randrange(1, 12)))})), rng.randrange(2)) for _ in range(150)]
