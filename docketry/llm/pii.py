@@ -202,7 +202,9 @@ def personal_data(docs: DataFrame, confident: float = CONFIDENT, least_seeds: in
 
     both = found.select("doc_id", "row", "spans").join(new, "row", "left")
     more = F.coalesce("more", F.array().cast(f"array<{_SPAN}>"))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    # taken out first: a second parameter of a lambda, even one with a default, would be the place in the array
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return both.select("doc_id", *counts, F.sha2(joined(F.col("spans")), 256).alias("base_sha256"), joined(F.array_sort(F.concat("spans", more))).alias("spans"), F.size(more).cast("long").alias("n_found"))
 
 

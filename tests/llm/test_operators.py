@@ -194,6 +194,17 @@ def test_base_spans_are_those_of_the_patterns():
         assert pii.base_spans(t) == brute_pii(t), t
 
 
+def test_pii_counts_each_kind(spark):
+    card, phone = "4111 1111 1111 1111", "+44 20 7946 0958"
+    texts = {1: f"{card}, a@b.co, c@d.org", 2: f"10.0.0.1 10.0.0.2 {phone}", 3: None, 4: f"e@f.g; {card}; {phone}; 1.2.3.4; h@i.j; k@l.m", 5: "none", 6: f"{phone} {phone}.", 7: "\U0001F600 x@y.z\x00 999.1.1.1"}
+    got = {r["doc_id"]: r for r in pii.personal_data(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for doc, text in texts.items():
+        spans = pii.base_spans(text or "")
+        assert [got[doc][f"n_{name}"] for name in pii.KINDS] == [sum(kind == k for _, kind, _ in spans) for k in range(4)]
+        assert got[doc]["base_sha256"] == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+    assert [got[4][f"n_{name}"] for name in pii.KINDS] == [3, 1, 1, 1] and [got[1][f"n_{name}"] for name in pii.KINDS] == [2, 0, 1, 0]
+
+
 def test_pii_bootstraps_unseen_identifiers(spark):
     rng = random.Random(2)
     rows = [(k, f"{' '.join(words(rng, 5))} call +1 (2{k:02d}) 555-01{k:02d} now", None, None, None, None, None) for k in range(40)]
