@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from . import vocab as V
 
-_BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+_BREAKS = "\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
+_BREAK = "\r\n|[" + _BREAKS + "]"
 
 
 def col(c) -> Column:
@@ -44,6 +45,12 @@ def lines(c) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
+def squashed_lines(c) -> Column:
+    """squash of each line of a text, in one pass over the whole; a last line without letters and digits may be left out."""
+    text = F.replace(F.replace(F.lower(col(c)), F.lit("\r\n"), F.lit("\n")), F.lit(" "), F.lit(""))
+    return F.split(F.regexp_replace(text, f"[^a-z0-9{_BREAKS}]+", ""), f"[{_BREAKS}]", -1)
+
+
 def count_class(c, klass: str) -> Column:
     """Characters of a class such as \\p{L}."""
     return F.length(col(c)) - F.length(F.regexp_replace(col(c), klass, ""))

@@ -8,7 +8,7 @@ heading vocabulary; figures are written from orders. Window sizes shrink accordi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -139,7 +139,7 @@ _VOCAB = f"select sq as key, 'H' || r::varchar as id, r from (select sq, row_num
 
 def _squashed_lines(spark, d) -> DataFrame:
     """(sq): lines of six letters or digits at least, squashed once, before the filter."""
-    return _t(spark, d, "documents").select(F.explode(F.transform(X.lines("text"), X.squash)).alias("sq")).where(F.length("sq") >= 6)
+    return _t(spark, d, "documents").select(F.explode(X.squashed_lines("text")).alias("sq")).where(F.length("sq") >= 6)
 
 
 def _vocabulary(spark, d) -> list[tuple[str, str]]:
@@ -174,11 +174,14 @@ _VOCAB2 = f"select sq as key, 'H' || r::varchar as id, r from (select sq, row_nu
 
 def _wrapped_vocabulary(spark, d) -> list[tuple[str, str]]:
     """The eight most repeated lines and the eight most repeated pairs of lines, longest first."""
-    sq = _t(spark, d, "documents").select(F.transform(X.lines("text"), X.squash).alias("s"))
-    pair = sq.select(F.explode(F.transform("s", lambda x, i: F.struct(x.alias("a"), F.get("s", i + 1).alias("b")))).alias("p")).select("p.*")
-    pair = pair.where("length(a) >= 6 and length(b) >= 6 and length(a) + length(b) <= 150").select(F.concat("a", "b").alias("sq"))
-    one = _squashed_lines(spark, d)
-    top = {r["sq"] for f in (one, pair) for r in f.groupBy("sq").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), "sq").limit(8).collect()}
+    # both from one pass over the texts: a line is alone, and with the next where both are long enough
+    sq = _t(spark, d, "documents").select(X.squashed_lines("text").alias("s"))
+    line = sq.select(F.explode(F.transform("s", lambda x, i: F.struct(x.alias("a"), F.get("s", i + 1).alias("b")))).alias("p")).select("p.*").where("length(a) >= 6")
+    pair = F.when(F.expr("length(b) >= 6 and length(a) + length(b) <= 150"), F.concat("a", "b"))
+    each = line.select(F.explode(F.array(F.struct(F.lit(1).alias("of"), F.col("a").alias("sq")), F.struct(F.lit(2).alias("of"), pair.alias("sq")))).alias("x")).select("x.*").where("sq is not null")
+    counts = each.groupBy("of", "sq").agg(F.count("*").alias("c"))
+    rank = F.row_number().over(Window.partitionBy("of").orderBy(F.col("c").desc(), "sq"))  # tasks send on their first eight only
+    top = {r["sq"] for r in counts.withColumn("r", rank).where("r <= 8").collect()}
     return [(k, f"H{r}") for r, k in enumerate(sorted(top, key=lambda k: (-len(k), k)), 1)]
 
 
