@@ -38,8 +38,8 @@ from .common import CASED, Words, chunks, shared_dir, table, text_bytes
 MAGIC = b"CMR2"
 #: Ids of a block, and of a segment that has an order-0 table.
 BLOCK, LARGE = 2048, 1 << 16
-#: Ids of a segment (a row of the file, and what a worker codes at once) and text of a file.
-SEGMENT, FILE_BYTES = 12 << 20, 24 << 20
+#: Ids of a segment (a row of the file, and what a worker codes at once, in some 15 bytes an id) and text of a file.
+SEGMENT, FILE_BYTES = 3 << 20, 24 << 20
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
 SLOTS, _SHIFT = 2048, np.uint32(21)  # the top 11 bits of a 32-bit hash
 #: Ids in the order-0 table at most, and the sum of its frequencies.

@@ -724,6 +724,14 @@ def test_coder_keeps_rare_ids_of_large_segments(n):
     assert (token_codec.decode(token_codec.encode(x)) == x).all()
 
 
+def test_segments_are_small_however_large_the_file(spark):
+    path = tokenizers.path(token_codec.VOCABULARY)
+    docs = spark.range(8).coalesce(1).selectExpr("id as doc_id", "repeat('a b c d ', 200000) as text")  # one task, 6,400,008 ids
+    rows = docs.mapInArrow(token_codec._writer(path, 1), "shard long, segment long, n_ids long, docs array<long>, sizes array<long>, payload binary").select("segment", "n_ids", "docs").collect()
+    assert sum(r["n_ids"] for r in rows) == 8 * 800_001 and max(r["n_ids"] for r in rows) <= 4 << 20
+    assert [r["segment"] for r in rows] == list(range(len(rows))) and [d for r in rows for d in r["docs"]] == list(range(8))
+
+
 def test_special_tokens_are_told_from_their_look_alikes(spark):
     from tokenizers import Tokenizer
 
