@@ -732,6 +732,24 @@ def test_segments_are_small_however_large_the_file(spark):
     assert [r["segment"] for r in rows] == list(range(len(rows))) and [d for r in rows for d in r["docs"]] == list(range(8))
 
 
+def test_words_of_passages_are_asked_for_by_ranges_and_not_shuffled_again(spark, docs):
+    import pandas as pd
+
+    chains = np.array([[7, 7, 9], [3, 4, 3], [0, 500, 640], [9000, 560, 700], [100, 0, 0], [9100, 60, 60]])  # x, r, xs, xe, rs, re
+    got = pd.DataFrame(substring_dedup._bounds(5, chains))
+    block = substring_dedup.BLOCK
+    near = {(d, k) for x, r, xs, xe, rs, re in chains.T for d, a, b in ((x, xs, xe), (r, rs, re)) for k in range(max(a - substring_dedup.REACH, 0) // block, (b + substring_dedup.REACH) // block + 1)}
+    asked = got[~got["chain"]]
+    assert sorted((d, k) for d, a, b in zip(asked["x"], asked["r"], asked["xs"]) for k in range(a, b + 1)) == sorted(near)  # each block once
+    assert len(asked) == 4 and (got[got["chain"]][list(substring_dedup._CHAIN)].to_numpy().T == chains).all()
+    code = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
+    assert (np.diff(substring_dedup._short(code).view(np.int64)) >= 0).all() and (substring_dedup._short(code) & np.uint64(3) == code & np.uint64(3)).all()
+    words = common.stored(docs.select("doc_id", "text"), 5, "doc_id")
+    assert sorted(map(tuple, words.collect()), key=repr) == sorted(map(tuple, docs.select("doc_id", "text").collect()), key=repr)
+    plan = words.join(spark.range(90).withColumnRenamed("id", "doc_id").hint("merge"), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and common.stored(docs.where("false"), 5, "doc_id").count() == 0
+
+
 def test_special_tokens_are_told_from_their_look_alikes(spark):
     from tokenizers import Tokenizer
 
