@@ -41,6 +41,16 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+#: Rows of narrow tables that a task decodes: files split by bytes would give a task millions of them.
+_ROWS = 25_000
+
+
+def _spread(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, the first its key, in as many partitions as its rows ask for."""
+    rows = _t(spark, d, name).select(*columns)
+    return rows.repartition(max(1, -(-rows.count() // _ROWS)), columns[0])
+
+
 # ------------------------------------------------------------------ files
 
 @query("select source, doc_id, n_chars from (select *, row_number() over (partition by source order by n_chars desc, doc_id) as r from documents) where r = 1")
@@ -471,7 +481,7 @@ def answer_items(spark, d):
     words = F.concat(F.lit('"text": " x '), F.col("event_type"), F.lit(' "'))
     form = F.when(F.col("event_id") % 3 == 0, F.concat(head, words, F.lit('}, {"id": "B1", "text": "not asked"}]}'))).when(F.col("event_id") % 3 == 1, F.concat(head, words, F.lit(',}, {"id": "B1", "text": "not asked"},]}')))
     table = F.concat(head, F.lit('"tables": [{"title": "t", "headers": ["a", "b"], "rows": [["1", 2], ["x"]]}, {"headers": [], "rows": []}]}]}'))
-    answers = _t(spark, d, "events").select("event_id", F.coalesce(form, table).alias("response"), F.array(F.concat(F.lit("A"), number)).alias("allowed"), F.lit(10).alias("n_lines"))
+    answers = _spread(spark, d, "events", "event_id", "event_type").select("event_id", F.coalesce(form, table).alias("response"), F.array(F.concat(F.lit("A"), number)).alias("allowed"), F.lit(10).alias("n_lines"))
     return items.parse_items(answers).select("event_id", "id", "line_from", "line_to", "text", F.size("tables").alias("n_tables"), "dropped_rows", "ordinal")
 
 
@@ -629,7 +639,7 @@ def fuzzy_heading(spark, d):
 @query()
 def salvage_json(spark, d):
     """Items of answers that were cut off, one of four whole."""
-    e = _t(spark, d, "events")
+    e = _spread(spark, d, "events", "event_id", "event_type")
     one = F.concat(F.lit('{"id": "a'), F.col("event_id").cast("string"), F.lit('", "lines": [4, "2"], "text": "x'), F.col("event_type"), F.lit('",}'))
     raw = F.concat(F.lit('{"items": ['), one, F.lit(", "), F.when(F.col("event_id") % 4 == 0, F.concat(one, F.lit("]}"))).otherwise('{"id": "b'))
     answers = e.select("event_id", raw.alias("response"), F.array(F.concat(F.lit("A"), F.col("event_id").cast("string"))).alias("allowed"), F.lit(10).alias("n_lines"))
